@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from . import chat_format, quality_rules, secret_scan
+from . import chat_format, decontaminate, quality_rules, secret_scan
 
 QUERIES = {
     "op2_quality_rules": quality_rules.op2_quality_rules,
+    "op6_decontaminate": decontaminate.op6_decontaminate,
     "op8_secret_scan": secret_scan.op8_secret_scan,
     "op9_chat_format": chat_format.op9_chat_format,
 }
 
 ORACLES = {
     "op2_quality_rules": quality_rules.SQL,
+    "op6_decontaminate": decontaminate.SQL,
     "op8_secret_scan": secret_scan.SQL,
     "op9_chat_format": chat_format.SQL,
 }
