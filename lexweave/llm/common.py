@@ -133,7 +133,7 @@ class Words:
     first word, and the number of words at the end. A null text has none.
     """
 
-    def __init__(self, texts: list[bytes], is_word: np.ndarray = WHITE_CLASS, sep: bytes = b" ", second: bool = False):
+    def __init__(self, texts: list[bytes], is_word: np.ndarray = WHITE_CLASS, sep: bytes = b" ", second: bool = False, hashed: bool = True):
         self.buf = sep.join(texts) + sep
         data = np.frombuffer(self.buf, np.uint8)
         inside = is_word[data].view(np.int8)
@@ -142,7 +142,8 @@ class Words:
         offsets = np.zeros(len(texts) + 1, np.int64)
         np.cumsum([len(t) + 1 for t in texts], out=offsets[1:])
         self.first = np.searchsorted(self.start, offsets)
-        self.hash = _ROLL.spans(_BYTES[data], self.start, self.end)
+        if hashed:
+            self.hash = _ROLL.spans(_BYTES[data], self.start, self.end)
         if second:
             self.hash2 = _ROLL2.spans(_BYTES2[data], self.start, self.end)
 
@@ -150,13 +151,18 @@ class Words:
         return self.buf[self.start[i] : self.end[i]]
 
 
+def piece_hash(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of stretches of bytes."""
+    return _ROLL.spans(_BYTES[data], start, end)
+
+
 def column_bytes(column: pa.Array) -> list[bytes]:
     """The UTF-8 bytes of a string column; null as empty."""
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     return [b"" if x is None else x for x in column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()).to_pylist()]
 
 
-def slices(sizes: list[int], most: int = 8_000_000) -> Iterator[tuple[int, int]]:
+def slices(sizes: list[int], most: int = 3_000_000) -> Iterator[tuple[int, int]]:
     """Stretches of a batch of about so many bytes, so numpy buffers stay small."""
     at = total = 0
     for i, n in enumerate(sizes):
@@ -177,3 +183,59 @@ def with_row_key(df: DataFrame, *content: str) -> DataFrame:
     Rows that are equal in all of them count as one document where documents are counted.
     """
     return df.withColumn("_rk", F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in content]))
+
+
+class RecordCache:
+    """Byte records by 64-bit hash, in flat arrays; kept between tasks of a worker.
+
+    A table of 2**bits slots maps a hash to its record; a newer hash takes a slot
+    from an older one. Once the records exceed most bytes, all go. Keys are hashes
+    alone: among 4 million entries two texts share one with a chance of 1e-6.
+    """
+
+    def __init__(self, channels: int, bits: int = 22, most: int = 150_000_000):
+        self.channels, self.bits, self.most = channels, bits, most
+        self.key, self.row = np.zeros(1 << bits, np.uint64), np.full(1 << bits, -1, np.int32)
+        self.flat = [np.zeros(1 << 16, np.uint8) for _ in range(channels)]
+        self.at = np.zeros((channels, 1 << 12), np.int64)
+        self.n = 0
+
+    def rows(self, keys: np.ndarray, learn: Callable[[np.ndarray], list[list[bytes]]]) -> np.ndarray:
+        """The record of each key. learn: gets the places in keys of new ones, gives records by channel."""
+        slot = (keys >> np.uint64(64 - self.bits)).astype(np.int64)
+        rows = np.where(self.key[slot] == keys, self.row[slot], -1).astype(np.int64)
+        miss = np.flatnonzero(rows < 0)
+        if len(miss):
+            new, first, inverse = np.unique(keys[miss], return_index=True, return_inverse=True)
+            got = learn(miss[first])
+            n = self.n + len(new)
+            if n >= self.at.shape[1]:
+                self.at = np.concatenate([self.at, np.zeros((self.channels, max(n + 1, self.at.shape[1])), np.int64)], axis=1)
+            for c, records in enumerate(got):
+                ends = self.at[c, self.n] + np.cumsum([len(r) for r in records])
+                self.at[c, self.n + 1 : n + 1] = ends
+                while len(self.flat[c]) < ends[-1]:
+                    self.flat[c] = np.concatenate([self.flat[c], np.zeros_like(self.flat[c])])
+                self.flat[c][self.at[c, self.n] : ends[-1]] = np.frombuffer(b"".join(records), np.uint8)
+            place = (new >> np.uint64(64 - self.bits)).astype(np.int64)
+            self.key[place], self.row[place] = new, self.n + np.arange(len(new))
+            rows[miss] = self.n + inverse
+            self.n = n
+        return rows
+
+    def take(self, channel: int, rows: np.ndarray, dtype=np.uint8) -> tuple[np.ndarray, np.ndarray]:
+        """The records of rows joined, as dtype, and their offsets in it."""
+        width = np.dtype(dtype).itemsize
+        return take(self.flat[channel][: self.at[channel, self.n]].view(dtype), self.at[channel, : self.n + 1] // width, rows)
+
+    def trim(self) -> None:
+        if self.at[:, self.n].sum() > self.most:
+            self.__init__(self.channels, self.bits, self.most)
+
+
+def take(flat: np.ndarray, at: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Stretches flat[at[i]:at[i + 1]] of the chosen i, joined, and their offsets."""
+    size = at[which + 1] - at[which]
+    out = np.zeros(len(which) + 1, np.int64)
+    np.cumsum(size, out=out[1:])
+    return flat[np.repeat(at[which] - out[:-1], size) + np.arange(out[-1])], out

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from . import chat_format, decontaminate, quality_rules, secret_scan
+from . import bpe, chat_format, decontaminate, quality_rules, record_files, secret_scan, zip_warc
 
 QUERIES = {
     "op2_quality_rules": quality_rules.op2_quality_rules,
+    "op3_record_files": record_files.op3_record_files,
+    "op4_zip_warc": zip_warc.op4_zip_warc,
     "op6_decontaminate": decontaminate.op6_decontaminate,
+    "op7_bpe": bpe.op7_bpe,
     "op8_secret_scan": secret_scan.op8_secret_scan,
     "op9_chat_format": chat_format.op9_chat_format,
 }
