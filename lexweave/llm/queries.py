@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, chat_format, decontaminate, quality_rules, record_files, secret_scan, zip_warc
+from . import bpe, chat_format, decontaminate, quality_rules, record_files, secret_scan, substring_index, zip_warc
 
 QUERIES = {
     "op2_quality_rules": quality_rules.op2_quality_rules,
@@ -12,6 +12,7 @@ QUERIES = {
     "op7_bpe": bpe.op7_bpe,
     "op8_secret_scan": secret_scan.op8_secret_scan,
     "op9_chat_format": chat_format.op9_chat_format,
+    "op10_substring_index": substring_index.op10_substring_index,
 }
 
 ORACLES = {
@@ -19,4 +20,5 @@ ORACLES = {
     "op6_decontaminate": decontaminate.SQL,
     "op8_secret_scan": secret_scan.SQL,
     "op9_chat_format": chat_format.SQL,
+    "op10_substring_index": substring_index.SQL,
 }
