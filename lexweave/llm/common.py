@@ -32,18 +32,16 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder."""
-    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh path in the shared folder; what it holds goes when the driver's Python ends."""
+    path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    atexit.register(_remove, spark, path)
+    return path
 
 
 def cut(df: DataFrame, name: str = "cut") -> DataFrame:
-    """Write a table into the shared folder and read it back: the lineage ends there.
-
-    The files go when the driver's Python ends.
-    """
+    """Write a table into the shared folder and read it back: the lineage ends there."""
     spark, path = df.sparkSession, scratch(df.sparkSession, name)
     df.write.parquet(path)
-    atexit.register(_remove, spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
