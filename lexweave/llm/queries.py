@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import bpe, chat_format, decontaminate, ngram_join, quality_rules, record_files, secret_scan, substring_index, zip_warc
+from . import bpe, chat_format, decontaminate, line_dedup, ngram_join, quality_rules, record_files, secret_scan, substring_index, zip_warc
 
 QUERIES = {
+    "op1_line_dedup": line_dedup.op1_line_dedup,
     "op2_quality_rules": quality_rules.op2_quality_rules,
     "op3_record_files": record_files.op3_record_files,
     "op4_zip_warc": zip_warc.op4_zip_warc,
@@ -17,6 +18,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op1_line_dedup": line_dedup.SQL,
     "op2_quality_rules": quality_rules.SQL,
     "op5_ngram_join": ngram_join.SQL,
     "op6_decontaminate": decontaminate.SQL,
