@@ -37,6 +37,7 @@ from .components import components
 
 K, PERCENT = 4, 85
 STARS = 2
+SHORT = 128
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 _SHINGLES = Rolling(31)
 _ORDERS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
@@ -47,9 +48,9 @@ def needed(n, percent: int):
     return -(-percent * n // 100)
 
 
-def spare(n):
-    """l: by how much more than 1 token prefixes of order 1 share."""
-    return np.maximum(1, n // 16)
+def spare(n, percent: int):
+    """l: how many tokens the prefixes of order 1 of linked sets share; short sets are posted whole or nearly."""
+    return np.maximum(n // 16, np.minimum(needed(n, percent), SHORT))
 
 
 def sets(texts: list[bytes], k: int) -> list[np.ndarray]:
@@ -99,7 +100,7 @@ def postings(texts: DataFrame, k: int, percent: int) -> DataFrame:
             for a, b in slices([len(t) for t in text]):
                 found = sets(text[a:b], k)
                 n = np.array([len(s) for s in found], np.int64)
-                size = np.minimum(n, n - needed(n, percent) + spare(n))
+                size = np.minimum(n, n - needed(n, percent) + spare(n, percent))
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.concatenate([s[:m] for s, m in zip(found, size, strict=True)]).view(np.int64)),
                     pa.array(np.repeat(rid[a:b], size)), pa.array(np.repeat(n, size).astype(np.int32)),
@@ -109,14 +110,40 @@ def postings(texts: DataFrame, k: int, percent: int) -> DataFrame:
 
 
 def buckets(posted: DataFrame, percent: int) -> DataFrame:
-    """token, rid, n: what order 2 leaves of the tokens that several classes posted."""
+    """token, rid, n, own, rank: what order 2 leaves of the tokens that several classes posted.
+
+    own: how many rid alone posted; rank: the token's place in order 2 among all posted by rid.
+    """
     p = posted.repartition("token")
     many = p.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
     p = p.join(many.hint("shuffle_hash"), "token")
     lists = p.groupBy("rid", "n").agg(F.sort_array(F.collect_list(F.struct("c", "token"))).alias("x"))
-    least = F.ceil(F.lit(percent) * F.col("n") / 100)  # size of the smallest set that may link
-    drop = F.greatest(F.lit(1), F.floor(least / 16)) - 1
-    return lists.select("rid", "n", F.explode(F.slice("x", 1, F.greatest(F.lit(0), F.size("x") - drop).cast("int"))).alias("x")).select("x.token", "rid", "n")
+    need, more, size = _sizes(percent)
+    n = F.col("n")
+    drop = more(need(n)) - 1  # need(n) is also the size of the smallest set that may link
+    lists = lists.withColumn("own", (size(n) - F.size("x")).cast("int"))
+    lists = lists.select("rid", "n", "own", F.posexplode(F.slice("x", 1, F.greatest(F.lit(0), F.size("x") - drop).cast("int"))).alias("at", "x"))
+    return lists.select("x.token", "rid", "n", "own", (F.col("own") + F.col("at") + 1).alias("rank"))
+
+
+def _sizes(percent: int):
+    """needed() and spare() in columns, and how many tokens a set of n posts."""
+    need = lambda n: F.ceil(F.lit(percent) * n / 100)
+    more = lambda n: F.greatest(F.floor(n / 16), F.least(need(n), F.lit(SHORT)))
+    return need, more, lambda n: n - need(n) + more(n)
+
+
+def may_link(n, rank, m, rank_m, percent: int):
+    """Whether the sizes, and a token's ranks among what the two posted, let it be their rarest common one.
+
+    Sets that link have `both` tokens in common, of which they post `least`; before the
+    rarest of these stands at most the rest of what a set posted.
+    """
+    need, more, size = _sizes(percent)
+    both = F.ceil(F.lit(percent) * (n + m) / (100 + percent))
+    least = F.least(both - need(n) + more(n), both - need(m) + more(m), both)
+    fit = 100 * F.least(n, m) >= percent * F.greatest(n, m)
+    return fit & (rank <= size(n) - least + 1) & (rank_m <= size(m) - least + 1)
 
 
 def _prefix(s: np.ndarray, order: np.uint64, percent: int) -> np.ndarray:
@@ -173,16 +200,18 @@ def cluster(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataFrame:
     comps = posted.select("rid").distinct().withColumn("comp", F.col("rid"))
     for star in range(STARS + 1):
         p = posted.join(comps, "rid")
-        mixed = p.groupBy("token").agg(F.min(F.struct("comp", "rid", "n")).alias("lead"), F.max("comp").alias("top")).where("lead.comp < top")
+        # the leader: first the class with the fewest tokens of its own, which an original has; then any other
+        first = F.col("own").cast("long") if star == 0 else F.xxhash64("rid", F.lit(star))
+        mixed = p.groupBy("token").agg(F.min(F.struct(first.alias("first"), "rid", "n", "comp", "rank")).alias("lead"), F.min("comp").alias("low"), F.max("comp").alias("top")).where("low < top")
         if star < STARS:
-            p = p.join(mixed, "token").where(f"comp <> lead.comp AND 100 * least(n, lead.n) >= {percent} * greatest(n, lead.n)")
+            p = p.join(mixed, "token").where(F.expr("comp <> lead.comp") & may_link(F.col("n"), F.col("rank"), F.col("lead.n"), F.col("lead.rank"), percent))
             p = p.groupBy("rid", F.col("lead.rid").alias("to")).agg(F.count(F.lit(1)).alias("c"))
             p = p if tested is None else p.join(tested, (F.least("rid", "to") == tested["a"]) & (F.greatest("rid", "to") == tested["b"]), "left_anti")
             pairs = p.groupBy("rid").agg(F.max_by("to", F.struct("c", -F.col("to"))).alias("to")).select(F.least("rid", "to").alias("a"), F.greatest("rid", "to").alias("b")).distinct()
         else:
-            p = p.join(mixed.select("token"), "token").select("token", "rid", "comp", "n")
-            q = p.withColumnsRenamed({"rid": "b", "comp": "comp_b", "n": "m"})
-            p = p.join(q, "token").where(f"rid < b AND comp <> comp_b AND 100 * least(n, m) >= {percent} * greatest(n, m)")
+            p = p.join(mixed.select("token"), "token").select("token", "rid", "comp", "n", "rank")
+            q = p.withColumnsRenamed({"rid": "b", "comp": "comp_b", "n": "m", "rank": "rank_m"})
+            p = p.join(q, "token").where(F.expr("rid < b AND comp <> comp_b") & may_link(F.col("n"), F.col("rank"), F.col("m"), F.col("rank_m"), percent))
             pairs = p.select(F.col("rid").alias("a"), "b").distinct().join(tested, ["a", "b"], "left_anti")
         pairs = cut(pairs, "pairs")
         tested = pairs if tested is None else tested.unionByName(pairs)
