@@ -13,7 +13,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: ASCII white space that ends a word.
@@ -183,6 +183,18 @@ def with_row_key(df: DataFrame, *content: str) -> DataFrame:
     return df.withColumn("_rk", F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in content]))
 
 
+def packed(df: DataFrame, *columns: str) -> DataFrame:
+    """_row, a struct of all columns, and the named ones beside it: no name in df clashes with an operator's own."""
+    quoted = ["`" + c.replace("`", "``") + "`" for c in df.columns]
+    return df.select(F.struct(*quoted).alias("_row"), *columns)
+
+
+def unpacked(df: DataFrame, **changed: Column) -> DataFrame:
+    """The columns of _row, some with new values."""
+    names = df.schema["_row"].dataType.names
+    return df.select(*[changed[c].alias(c) if c in changed else F.col("_row").getField(c).alias(c) for c in names])
+
+
 class RecordCache:
     """Byte records by 64-bit hash, in flat arrays; kept between tasks of a worker.
 

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, byte_class, column_bytes, match_rows, slices, table, with_row_key
+from .common import Words, byte_class, column_bytes, match_rows, packed, slices, table, unpacked, with_row_key
 
 SIZE = 8
 LEAST_ITEMS = 2
@@ -193,7 +193,8 @@ def search(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, block_bytes:
 def clean(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, least_items: int = LEAST_ITEMS) -> DataFrame:
     """The documents that contain windows of fewer than so many items, with all their columns."""
     hit = search(docs, benchmark, size).where(F.size("items") >= least_items).select("doc_id", "_rk").distinct()
-    return match_rows(with_row_key(docs, "text"), hit, "left_anti").select(*docs.columns)
+    d = packed(docs, F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return unpacked(match_rows(with_row_key(d, "text"), hit, "left_anti"))
 
 
 def op6_decontaminate(spark, sf_dir: str) -> DataFrame:

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Rolling, Words, column_bytes, cut, match_rows, mix, slices, table, with_row_key
+from .common import Rolling, Words, column_bytes, cut, match_rows, mix, packed, slices, table, unpacked, with_row_key
 from .components import components
 
 K, PERCENT = 4, 85
@@ -251,10 +251,10 @@ def deduplicate(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     alone = c.where("n = 0 OR doc_id IS NULL").select("doc_id", "_rk")
     first = c.where("n > 0 AND doc_id = component_id").groupBy("doc_id").agg(F.min("_rk").alias("_rk"))
     stay = alone.unionByName(first.select("doc_id", "_rk")).distinct()
-    out = match_rows(with_row_key(docs, "text"), stay)
+    out = match_rows(with_row_key(packed(docs, F.col("doc_id").cast("long").alias("doc_id"), "text"), "text"), stay)
     if _repeats(c):
         out = out.where("doc_id IS NULL OR text IS NULL").unionByName(out.where("doc_id IS NOT NULL AND text IS NOT NULL").dropDuplicates(["doc_id", "_rk"]))
-    return out.select(*docs.columns)
+    return unpacked(out)
 
 
 def op5_ngram_join(spark, sf_dir: str) -> DataFrame:

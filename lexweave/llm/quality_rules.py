@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import GAP, cut, match_rows, table, with_row_key
+from .common import GAP, cut, match_rows, packed, table, unpacked, with_row_key
 
 MIN_WORDS = 20
 MIN_DOCS = 5
@@ -72,11 +72,11 @@ def clean(docs: DataFrame, **limits) -> DataFrame:
     """The documents that are kept, with all their columns, without their lines above the limits."""
     judged = judge(cut(measure(docs), "measured"), **limits)
     kept = judged.where("kept").select("doc_id", "_rk", "common").dropDuplicates(["doc_id", "_rk"])
-    d = docs.withColumn("_t", F.coalesce("text", F.lit(""))).withColumn("_s", F.coalesce("source", F.lit("")))
+    d = packed(docs, "doc_id", F.coalesce("text", F.lit("")).alias("_t"), F.coalesce("source", F.lit("")).alias("_s"))
     d = match_rows(with_row_key(d, "_t", "_s"), kept)
     lines = F.filter(F.split("_t", "\n", -1), lambda x: ~F.array_contains("common", F.xxhash64(_normal(x))))
     text = F.when(F.size("common") == 0, F.col("_t")).otherwise(F.array_join(lines, "\n"))
-    return d.withColumn("text", text).select(*docs.columns)
+    return unpacked(d, text=text)
 
 
 def op2_quality_rules(spark, sf_dir: str) -> DataFrame:
