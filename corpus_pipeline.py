@@ -53,7 +53,7 @@ STAGES = [
     ("bpe", tokens),
 ]
 
-#: SQL cannot express the last stage; tests hold run() against brute force.
+#: SQL cannot express the last stage; tests/llm/test_pipeline.py holds each stage and run() against a plain version.
 ORACLE_SQL = None
 
 
