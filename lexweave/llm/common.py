@@ -39,10 +39,28 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 
 def cut(df: DataFrame, name: str = "cut") -> DataFrame:
-    """Write a table into the shared folder and read it back: the lineage ends there."""
+    """Write a table into the shared folder and read it back: the lineage ends there.
+
+    The shuffle files of the query that wrote it go then: nothing reads them again.
+    """
     spark, path = df.sparkSession, scratch(df.sparkSession, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    before = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._cut_path = path
+    return out
+
+
+def release(df: DataFrame) -> None:
+    """Delete a table that cut has written and nothing reads any more."""
+    _remove(df.sparkSession, df._cut_path)
+
+
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def _remove(spark: SparkSession, path: str) -> None:
