@@ -62,3 +62,13 @@ def test_found_citations():
     f = citations.find("in clause (i) to (iv) of sub-section (1) of section 10, and section 6 of the General Clauses Act, 1899; the fourth proviso and the Schedule")
     assert [(x["kind"], x["external"]) for x in f] == [("chain", False), ("chain", True), ("schedule", False), ("proviso", False)]
     assert [[n["key"] for n in link["nums"]] for link in f[0]["links"]] == [["i", "iv"], ["1"], ["10"]]
+
+
+def test_long_chain_walks_every_middle_link(spark):
+    text = "under item (a) of sub-clause (i) of clause (b) of sub-section (2) of section 10, or item (z) of sub-clause (ix) of clause (b) of sub-section (2) of section 10"
+    eids = ["sec_10", "sec_10__subsec_2", "sec_10__subsec_2__cl_b", "sec_10__subsec_2__cl_b__subcl_i", "sec_10__subsec_2__cl_b__subcl_i__item_a", "sec_10__subsec_2__cl_b__item_a", "sec_10__subsec_2__cl_b__item_z"]
+    index = spark.createDataFrame([("d", e, e.split("__")[-1]) for e in eids], "doc_id string, eid string, tail string")
+    texts = spark.createDataFrame([("d", "sec_1__content__p_1", "sec_1", text)], "doc_id string, owner string, context string, text string")
+    refs, warnings = citations.resolve(citations.citations(texts), index)
+    assert [(r["seq"], r["href"]) for r in refs.collect()] == [(0, "#sec_10__subsec_2__cl_b__subcl_i__item_a")]
+    assert [r["reason"] for r in warnings.collect()] == ["subclause ix not found under sec_10__subsec_2__cl_b"]
