@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from lexweave.functions import chars
-from lexweave.operators import citations, ids, lines, tokens, tree
+from lexweave.operators import citations, ids, lines, tokens, tree, views
 from lexweave.operators.tree import Placer
 
 
@@ -72,3 +72,22 @@ def test_long_chain_walks_every_middle_link(spark):
     refs, warnings = citations.resolve(citations.citations(texts), index)
     assert [(r["seq"], r["href"]) for r in refs.collect()] == [(0, "#sec_10__subsec_2__cl_b__subcl_i__item_a")]
     assert [r["reason"] for r in warnings.collect()] == ["subclause ix not found under sec_10__subsec_2__cl_b"]
+
+
+def test_stored_metadata(spark):
+    xml = """<?xml version="1.0" encoding="UTF-8"?>
+<akomaNtoso xmlns="http://docs.oasis-open.org/legaldocml/ns/akn/3.0"><act name="act"><meta><identification source="#e">
+<FRBRWork><FRBRthis value="w/!main"/><FRBRuri value="w"/><FRBRalias name="title" value="THE ACT, 2020"/><FRBRalias name="title" value="PÀ" xml:lang="kn-Latn-x-nudi"/><FRBRalias name="short" value="no"/>
+<FRBRdate date="2020-03-26" name="assent"/><FRBRcountry value="in-ka"/><FRBRnumber value="4"/></FRBRWork>
+<FRBRExpression><FRBRuri value="e"/><FRBRdate date="2020-03-27" name="publication"/><FRBRlanguage language="eng"/></FRBRExpression>
+<FRBRManifestation><FRBRuri value="m"/><FRBRdate date="2024-01-01" name="generation"/></FRBRManifestation></identification>
+<publication date="1999-09-09" name="Gazette" number="DPAL 12 SHASANA 2020"/><classification><keyword showAs="Rent Law"/><keyword showAs="Housing"/></classification></meta><body/>
+<attachments><attachment><doc name="schedule"><meta><identification><FRBRWork><FRBRuri value="other"/></FRBRWork></identification></meta></doc></attachment></attachments></act></akomaNtoso>"""
+    bare = '<akomaNtoso><act><meta/><body/><attachments><attachment><doc><meta><identification><FRBRWork><FRBRuri value="other"/></FRBRWork></identification></meta></doc></attachment></attachments></act></akomaNtoso>'
+    got = {r["doc_id"]: r.asDict() for r in views.metadata(spark.createDataFrame([("a", xml), ("b", bare)], "doc_id string, xml string")).collect()}
+    assert got["a"] == {
+        "doc_id": "a", "title": "THE ACT, 2020", "source_title": "PÀ", "source_title_lang": "kn-Latn-x-nudi", "source_title_legacy": True, "work_uri": "w", "work_date": "2020-03-26",
+        "expression_uri": "e", "expression_date": "2020-03-27", "manifestation_uri": "m", "jurisdiction": "in-ka", "number": "4", "publication_date": "2020-03-27", "generation_date": "2024-01-01",
+        "language": "eng", "gazette": "Gazette", "notification": "DPAL 12 SHASANA 2020", "keywords": ["Rent Law", "Housing"],
+    }
+    assert {k: v for k, v in got["b"].items() if v is not None} == {"doc_id": "b", "source_title_legacy": False, "keywords": []}
