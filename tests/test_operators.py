@@ -91,3 +91,22 @@ def test_stored_metadata(spark):
         "language": "eng", "gazette": "Gazette", "notification": "DPAL 12 SHASANA 2020", "keywords": ["Rent Law", "Housing"],
     }
     assert {k: v for k, v in got["b"].items() if v is not None} == {"doc_id": "b", "source_title_legacy": False, "keywords": []}
+
+
+def test_html_drops_no_element(spark):
+    xml = """<?xml version="1.0" encoding="UTF-8"?>
+<akomaNtoso xmlns="http://docs.oasis-open.org/legaldocml/ns/akn/3.0"><act><meta><identification/></meta><preface><p eId="preface__p_1">ACT &amp; NO. 4</p></preface><preamble><p eId="preamble__formula_1">Be it enacted</p></preamble>
+<body><section eId="sec_1"><num>1.</num><heading>Title</heading><intro eId="sec_1__intro"><p eId="p1">In <ref href="#sec_2">section 2</ref> and <span xml:lang="kn-Latn-x-nudi">PÀ</span>, <def refersTo="#rent">rent</def> <omissis/>end</p></intro>
+<proviso eId="sec_1__proviso_1"><content><p eId="p2">Provided also that it rests</p></content></proviso><subsection eId="s"><num>(2)</num><content><table eId="t"><tr><th><p eId="c1">A</p></th></tr><tr><td><p eId="c2">b</p></td></tr></table></content></subsection><odd><p eId="p3">kept</p></odd></section></body>
+<conclusions><p eId="conclusions__p_1">By order</p></conclusions><attachments><attachment eId="att_1"><doc><mainBody><hcontainer eId="h"><content><p eId="p4"><ref href="/akn/x#sec_1">there</ref></p></content></hcontainer></mainBody></doc></attachment></attachments></act></akomaNtoso>"""
+    got = {r["doc_id"]: r["html"] for r in views.html(spark.createDataFrame([("a", xml), ("b", "<akomaNtoso/>"), ("c", None)], "doc_id string, xml string")).collect()}
+    assert (got["b"], got["c"]) == ("", None)
+    for part in (
+        '<div class="akn akn-preface" data-eid=""><div class="akn-container-label">Preface</div><p id="preface__p_1" class="akn-p" data-eid="preface__p_1">ACT &amp; NO. 4</p></div>',
+        '<p id="preamble__formula_1" class="akn-p" data-eid="preamble__formula_1">Be it enacted</p>',
+        '<div id="sec_1" class="akn akn-section akn-headed" data-eid="sec_1" data-kind="section"><div class="akn-label"><span class="akn-num">1.</span> <span class="akn-heading-text">Title</span></div>',
+        'In <a class="akn-ref" href="#sec_2">section 2</a> and <span class="akn-foreign akn-foreign-legacy" lang="kn-Latn-x-nudi"', '<dfn class="akn-def" title="Defined term: rent">rent</dfn>', "[omitted]</span>end</p>",
+        '<em class="akn-proviso-lead">Provided also that</em> it rests', 'akn-subsection akn-hanging', '<table id="t" class="akn-table" data-eid="t"><tbody><tr><th><p id="c1"', "<td><p id=\"c2\" class=\"akn-p\" data-eid=\"c2\">b</p></td>",
+        '<p id="p3" class="akn-p" data-eid="p3">kept</p></div></div>', 'By order</p></div>', '<span class="akn-ref akn-ref-external" title="/akn/x#sec_1">there</span>',
+    ):
+        assert part in got["a"], part
