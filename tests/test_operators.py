@@ -3,7 +3,8 @@
 from pyspark.sql import functions as F
 
 from lexweave.functions import chars
-from lexweave.operators import citations, ids, lines, tokens, tree, views
+from lexweave.operators import citations, ids, lines, meta, pages, render, tokens, tree, views
+from lexweave.plans.corpus import Corpus
 from lexweave.operators.tree import Placer
 
 
@@ -110,3 +111,28 @@ def test_html_drops_no_element(spark):
         '<p id="p3" class="akn-p" data-eid="p3">kept</p></div></div>', 'By order</p></div>', '<span class="akn-ref akn-ref-external" title="/akn/x#sec_1">there</span>',
     ):
         assert part in got["a"], part
+
+
+def test_document_has_meta_definitions_and_tagged_runs(spark):
+    run = F.struct(F.lit("PÀ ಕ").alias("text"), F.lit("kan").alias("lang"), F.lit("legacy").alias("encoding"), F.lit("nudi").alias("font_encoding"))
+    token = one(spark, pages.run_token(run))
+    assert [r["kind"] for r in one(spark, pages.runs(F.lit(f"a {token} b \ue000")))] == ["text", "foreign", "text", "omissis"]
+    assert [r["text"] for r in one(spark, pages.runs(F.lit("a\ue002_w==\ue002b\ue002e30=\ue002c\ue002abc\ue002d")))] == ["a", "b", "c", "d"]  # none can be read
+    assert one(spark, render.tagged(F.lit(None).cast("string"), F.lit("p"))) == ""
+    assert one(spark, render.tagged(F.lit(f"<{token}"), F.lit("p"))) == '&lt;<span eId="p__span_1" xml:lang="kn-Latn-x-nudi">PÀ ಕ</span>'
+    text = f"KARNATAKA ACT NO. 04 OF 2020\nOrdered that the translation of {token} in the English language, be published\nNo. DPAL 12 SHASANA 2020\nTHE RENT ACT, 2020\nBe it enacted as follows:-\n1. Definitions.-(1) In this Act {token} holds.\n(a) \"fair rent\" means rent under section 2.\n2. Rent.-Rent is due."
+    c = Corpus(spark.createDataFrame([("d", text)], "doc_id string, text string"))
+    xml = c.xml.first()["xml"]
+    (m,) = views.metadata(spark.createDataFrame([("d", xml)], "doc_id string, xml string")).collect()
+    assert (m["title"], m["source_title"], m["source_title_lang"], m["source_title_legacy"]) == ("THE RENT ACT, 2020", "PÀ ಕ", "kn-Latn-x-nudi", True)
+    assert (m["number"], m["jurisdiction"], m["language"], m["notification"], m["generation_date"]) == ("4", "in-ka", "eng", "DPAL 12 SHASANA 2020", "2024-01-01")
+    for part in (
+        '<FRBRauthor href="#karnatakaLegislature"/>', '<FRBRthis value="/akn/in-ka/act/2020/4/eng@2020/!main.xml"/>', '<FRBRformat value="xml"/>', '<eventRef eId="eref_1" date="2020" type="generation" source="#karnatakaLegislature"/>',
+        '<TLCRole eId="nyayabandhu" href="/akn/ontology/role/editor" showAs="NyayaBandhu automated parser"/><TLCTerm eId="fairRent" href="/akn/ontology/term/fairRent" showAs="fair rent"/></references>',
+        '__p_1__def_1" refersTo="#fairRent">&quot;fair rent&quot;</def> means rent under <ref eId="', '__p_1__ref_2" href="#sec_2">section 2</ref>', '__span_1" xml:lang="kn-Latn-x-nudi">PÀ ಕ</span> holds',
+    ):
+        assert part in xml or part.replace("&quot;", '"') in xml, (part, xml)
+    assert "\ue002" not in xml
+    given = spark.createDataFrame([("a", {"keywords": '["Rent Law"]'})], "key string, values map<string,string>")
+    k = render.meta_xml(meta.apply_overrides(c.meta, spark.createDataFrame([("d", "/x/a.pdf")], "doc_id string, path string"), given)).first()["meta_xml"]
+    assert '<classification source="#nyayabandhu"><keyword eId="rentLaw" value="rent law" showAs="Rent Law" dictionary="#nyayabandhuSubjects"/></classification>' in k
