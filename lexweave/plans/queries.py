@@ -119,10 +119,13 @@ def i02_eids(spark, d):
     return _corpus(spark, d).nodes.select(F.col("doc_id").cast("long").alias("doc_id"), "eid", "kind", "depth")
 
 
-def i05_duplicates(spark, d):
+def i05_collisions(spark, d):
     c = Corpus(statutes.acts(_t(spark, d, "orders"), _t(spark, d, "lineitem"), _t(spark, d, "part"), once=False))
-    dup = ids.duplicates(ids.eid_index(c.tree, c.all_nodes)).where("eid NOT LIKE '%\\_\\_%'")
-    return dup.select(F.col("doc_id").cast("long").alias("doc_id"), "eid", "copies")
+    return ids.duplicates(ids.eid_index(c.tree, c.all_nodes)).select(F.col("doc_id").cast("long").alias("doc_id"), "eid", "copies")
+
+
+def i05_duplicates(spark, d):
+    return i05_collisions(spark, d).where("eid NOT LIKE '%\\_\\_%'")
 
 
 def c05_external(spark, d):
@@ -151,7 +154,7 @@ def w01_outline(spark, d):
 
 QUERIES = {f.__name__: f for f in (
     f01_sanitise, f02_letter_counts, f03_span_class, f08_misencoded, f14_numbers, f22_slug, f25_uris, p01_pages, p02_readmit, p05_furniture, l02_runs, l06_orphans, l07_reflow, k04_ranges,
-    w01_outline, w02_attrs, t03_markers, t04_headings, i02_eids, i05_duplicates, c05_external, m01_meta, v04_dangling, v05_residue,
+    w01_outline, w02_attrs, t03_markers, t04_headings, i02_eids, i05_duplicates, i05_collisions, c05_external, m01_meta, v04_dangling, v05_residue,
 )}
 
 # ---------------------------------------------------------------- SQL
@@ -218,6 +221,8 @@ SELECT doc_id, CAST(i AS INTEGER) AS tok_no, CASE WHEN doc_id % 2 = 0 THEN 'alph
     "i02_eids": f"""WITH {_SEC}, x AS (SELECT k, 'sec_' || n AS s FROM sec)
 SELECT k AS doc_id, s || e AS eid, kind, CAST(depth AS INTEGER) AS depth FROM x, (VALUES ('', 'section', 1), ('__subsec_1', 'subsection', 2), ('__subsec_2', 'subsection', 2), ('__subsec_2__cl_a', 'clause', 3), ('__subsec_2__cl_b', 'clause', 3), ('__subsec_2__proviso_1', 'proviso', 3)) v(e, kind, depth)""",
     "i05_duplicates": "SELECT l_orderkey AS doc_id, 'sec_' || l_linenumber AS eid, count(*) AS copies FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1",
+    "i05_collisions": """WITH r AS (SELECT l_orderkey AS k, 'sec_' || l_linenumber AS s, count(*) AS copies FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1)
+SELECT k AS doc_id, s || e AS eid, copies FROM r, (VALUES ('', 'section', 1), ('__subsec_1', 'subsection', 2), ('__subsec_2', 'subsection', 2), ('__subsec_2__cl_a', 'clause', 3), ('__subsec_2__cl_b', 'clause', 3), ('__subsec_2__proviso_1', 'proviso', 3)) v(e, kind, depth)""",
     "c05_external": f"WITH {_SEC} SELECT k AS doc_id, count(*) AS n FROM sec WHERE n % 2 = 1 GROUP BY k",
     "m01_meta": """
 WITH d AS (SELECT DISTINCT o_orderkey AS k, o_orderdate AS d FROM orders JOIN lineitem ON l_orderkey = o_orderkey)

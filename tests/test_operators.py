@@ -1,9 +1,11 @@
 """Operators on small inline inputs."""
 
+import duckdb
 from pyspark.sql import functions as F
 
 from lexweave.functions import chars
 from lexweave.operators import citations, ids, lines, meta, pages, render, tokens, tree, views
+from lexweave.plans import queries
 from lexweave.plans.corpus import Corpus
 from lexweave.operators.tree import Placer
 
@@ -136,3 +138,12 @@ def test_document_has_meta_definitions_and_tagged_runs(spark):
     given = spark.createDataFrame([("a", {"keywords": '["Rent Law"]'})], "key string, values map<string,string>")
     k = render.meta_xml(meta.apply_overrides(c.meta, spark.createDataFrame([("d", "/x/a.pdf")], "doc_id string, path string"), given)).first()["meta_xml"]
     assert '<classification source="#nyayabandhu"><keyword eId="rentLaw" value="rent law" showAs="Rent Law" dictionary="#nyayabandhuSubjects"/></classification>' in k
+
+
+def test_collisions_at_every_level(spark):
+    sf = "/root/testdata/sf0.001"
+    got = sorted(tuple(r) for r in queries.QUERIES["i05_collisions"](spark, sf).collect())
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW lineitem AS SELECT * FROM '{sf}/lineitem.parquet'")
+    assert got == sorted(con.execute(queries.ORACLES["i05_collisions"]).fetchall())
+    assert {e.count("__") for _, e, _ in got} == {0, 1, 2}
