@@ -50,7 +50,7 @@ class WordBpe:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.split_special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
         vocab = model["vocab"]
-        self.tokens = {i: t for t, i in vocab.items()} | {i: t for t, i in self.special.items()}
+        self.tokens = {str(i).encode(): t.encode() for t, i in [*vocab.items(), *self.special.items()]}
         suffix = model["end_of_word_suffix"] or ""
         letters = _byte_letters()
         self.inner = np.array([vocab[c] for c in letters], np.int64)
@@ -67,7 +67,7 @@ class WordBpe:
         np.minimum.at(first, a, np.arange(len(a)))
         np.minimum.at(first, b, np.arange(len(b)))
         self.alone = (first[self.made] <= np.arange(len(self.made))) | (a == b)
-        self.cache = RecordCache(3)
+        self.cache = RecordCache(2)
 
     def merge(self, words: list[bytes]) -> tuple[list[int], list[int]]:
         """Ids of the words (none is empty) and where each word's begin."""
@@ -122,51 +122,56 @@ class WordBpe:
         return out
 
     def learn(self, stretches: list[str]) -> list[list[bytes]]:
-        """Records of each: number of ids (4 bytes); ids, each after a space; tokens, likewise."""
+        """Records of each: number of ids (4 bytes); ids, each after a space."""
         parts = self.pieces(stretches)
         distinct = {w: i for i, w in enumerate({w for p in parts for w in p})}
         flat, at = self.merge([w.encode() for w in distinct]) if distinct else ([], [0])
         ids = [" " + str(i) for i in flat]
-        tokens = [" " + self.tokens[i] for i in flat]
-        out: list[list[bytes]] = [[], [], []]
+        out: list[list[bytes]] = [[], []]
         for p in parts:
-            a, b, n = "", "", 0
+            a, n = "", 0
             for w in p:
                 i, j = at[distinct[w]], at[distinct[w] + 1]
                 a += "".join(ids[i:j])
-                b += "".join(tokens[i:j])
                 n += j - i
-            for c, x in zip(out, (n.to_bytes(4, "little"), a.encode(), b.encode()), strict=True):
+            for c, x in zip(out, (n.to_bytes(4, "little"), a.encode()), strict=True):
                 c.append(x)
         return out
 
     def encode_texts(self, texts: list[bytes]) -> list[tuple[int, bytes, bytes]]:
-        """Of each text: number of ids, decimal ids joined by a space, decoded text."""
+        """Of each text: number of ids, decimal ids joined by a space, what these decode to."""
+        return [(n, ids, self.decode_ids(ids)) for n, ids in self.ids_of(texts)]
+
+    def ids_of(self, texts: list[bytes]) -> list[tuple[int, bytes]]:
+        """Of each text: number of ids, decimal ids joined by a space."""
         w = Words(texts)
         rows = self.cache.rows(w.hash, lambda new: self.learn([w.word(i).decode() for i in new.tolist()]))
         counts = np.append(0, np.cumsum(self.cache.take(0, rows, "<u4")[0].astype(np.int64)))[w.first]
-        parts = []
-        for channel in (1, 2):
-            flat, at = self.cache.take(channel, rows)
-            parts.append((flat.tobytes(), at[w.first].tolist()))
-        (ids, x), (tokens, y) = parts
+        flat, at = self.cache.take(1, rows)
+        ids, x = flat.tobytes(), at[w.first].tolist()
         out = []
         for i, t in enumerate(texts):
             if b"<|" in t and self.split_special.search(s := t.decode()):
                 out.append(self.with_special(s))
             else:
-                out.append((int(counts[i + 1] - counts[i]), ids[x[i] + 1 : x[i + 1]], tokens[y[i] + 1 : y[i + 1]]))
+                out.append((int(counts[i + 1] - counts[i]), ids[x[i] + 1 : x[i + 1]]))
         self.cache.trim()
         return out
 
-    def with_special(self, text: str) -> tuple[int, bytes, bytes]:
-        n, found = 0, ([], [])
+    def with_special(self, text: str) -> tuple[int, bytes]:
+        n, found = 0, []
         for i, part in enumerate(self.split_special.split(text)):
-            got = (1, str(self.special[part]).encode(), part.encode()) if i % 2 else self.encode_texts([part.encode()])[0]
+            got = (1, str(self.special[part]).encode()) if i % 2 else self.ids_of([part.encode()])[0]
             n += got[0]
-            for k in (0, 1):
-                found[k].extend([got[k + 1]] if got[0] else [])
-        return n, b" ".join(found[0]), b" ".join(found[1])
+            found.extend([got[1]] if got[0] else [])
+        return n, b" ".join(found)
+
+    def decode_ids(self, ids: bytes) -> bytes:
+        """The tokens of decimal ids, joined by a space, as the file has no decoder; refuses an id it does not know."""
+        try:
+            return b" ".join([self.tokens[i] for i in ids.split()])
+        except KeyError as e:
+            raise ValueError(f"no token has the id {e.args[0].decode()!r}") from None
 
 
 def shared(path: str) -> WordBpe:
@@ -203,7 +208,7 @@ def _encoder(path: str, digests: bool):
 
 
 def encode(docs: DataFrame, path: str, digests: bool = False) -> DataFrame:
-    """doc_id, n_tokens, ids (decimal, joined by a space) and decoded; their SHA-256 instead if digests.
+    """doc_id, n_tokens, ids (decimal, joined by a space) and decoded (from these ids, as decode() does); their SHA-256 instead if digests.
 
     path: the tokenizers file, which every executor has, like the library.
     """
@@ -211,6 +216,24 @@ def encode(docs: DataFrame, path: str, digests: bool = False) -> DataFrame:
     return d.mapInArrow(_encoder(path, digests), f"doc_id bigint, {SCHEMA}")
 
 
+def _decoder(path: str):
+    def run(batches):
+        enc = shared(path)
+        for batch in batches:
+            ids = column_bytes(batch.column("ids"))
+            for a, b in slices([len(t) for t in ids]):
+                decoded = pa.array([enc.decode_ids(t).decode() for t in ids[a:b]], pa.string())
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, b - a), decoded], ["doc_id", "decoded"])
+
+    return run
+
+
+def decode(encoded: DataFrame, path: str) -> DataFrame:
+    """doc_id and decoded of doc_id and ids, as encode() writes them; null ids are no ids."""
+    d = encoded.select(F.col("doc_id").cast("long").alias("doc_id"), "ids")
+    return d.mapInArrow(_decoder(path), "doc_id bigint, decoded string")
+
+
 def op7_bpe(spark, sf_dir: str) -> DataFrame:
     import public_tokenizers
 

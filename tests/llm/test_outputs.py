@@ -139,3 +139,15 @@ def test_zip64_directory():
     data = data[:place] + bytes(central) + wide + locator + tail
     found = zip_warc.members(lambda a, k: data[a : a + k], len(data))
     assert {k: data[a : a + m] for k, (_, a, m) in found.items()} == {"a": b"aaaaa", "b": b"bbbbb"}
+
+
+def test_bpe_decodes_ids(spark):
+    path = public_tokenizers.path(bpe.NAME)
+    lib = Tokenizer.from_file(path)
+    texts = {1: "Ärger über 12 Straßen\nund 中文", 2: "", 3: None, 4: "a <|endoftext|> b", 5: "The rent is due. The rent is due."}
+    enc = bpe.encode(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), path)
+    got = {r["doc_id"]: r["decoded"] for r in bpe.decode(enc.select("doc_id", "ids"), path).collect()}
+    want = {k: lib.decode(lib.encode(t or "", add_special_tokens=False).ids, skip_special_tokens=False) for k, t in texts.items()}
+    assert got == want == {r["doc_id"]: r["decoded"] for r in enc.collect()}
+    with pytest.raises(ValueError, match="99999999"):
+        bpe.shared(path).decode_ids(b"1 99999999")
