@@ -3,7 +3,7 @@
 The symbols of many words lie in one flat array. A round looks up the keys of all
 neighbouring pairs by binary search over the sorted pair keys, takes each word's pair
 of lowest rank and merges it; words without a pair leave. Words repeat, so each is
-merged once per worker as long as a bounded cache (see RecordCache) holds it.
+merged once per worker as long as a bounded cache of words (by their bytes) holds it.
 
 The file's normaliser (NFC, white space, lower case) and its split pattern run per
 stretch between ASCII white space. A null text is empty and has no tokens; empty
@@ -23,10 +23,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import RecordCache, Words, column_bytes, slices, table
+from .common import PieceCache, chunks, column_bytes, slices, table
 
 NAME = "word_bpe_49k.json"
 NONE = np.iinfo(np.int64).max
+#: Texts of more bytes are taken in stretches.
+CHUNKED = 4_000_000
 
 
 def _byte_letters() -> list[str]:
@@ -67,7 +69,7 @@ class WordBpe:
         np.minimum.at(first, a, np.arange(len(a)))
         np.minimum.at(first, b, np.arange(len(b)))
         self.alone = (first[self.made] <= np.arange(len(self.made))) | (a == b)
-        self.cache = RecordCache(2)
+        self.cache = PieceCache()
 
     def merge(self, words: list[bytes]) -> tuple[list[int], list[int]]:
         """Ids of the words (none is empty) and where each word's begin."""
@@ -121,22 +123,13 @@ class WordBpe:
                 out[-1].append(w)
         return out
 
-    def learn(self, stretches: list[str]) -> list[list[bytes]]:
-        """Records of each: number of ids (4 bytes); ids, each after a space."""
-        parts = self.pieces(stretches)
+    def learn(self, stretches: list[bytes]) -> list[bytes]:
+        """The ids of each in decimals, every one after a space."""
+        parts = self.pieces([x.decode() for x in stretches])
         distinct = {w: i for i, w in enumerate({w for p in parts for w in p})}
         flat, at = self.merge([w.encode() for w in distinct]) if distinct else ([], [0])
-        ids = [" " + str(i) for i in flat]
-        out: list[list[bytes]] = [[], []]
-        for p in parts:
-            a, n = "", 0
-            for w in p:
-                i, j = at[distinct[w]], at[distinct[w] + 1]
-                a += "".join(ids[i:j])
-                n += j - i
-            for c, x in zip(out, (n.to_bytes(4, "little"), a.encode()), strict=True):
-                c.append(x)
-        return out
+        ids = [b" %d" % i for i in flat]
+        return [b"".join(x for w in p for x in ids[at[distinct[w]] : at[distinct[w] + 1]]) for p in parts]
 
     def encode_texts(self, texts: list[bytes]) -> list[tuple[int, bytes, bytes]]:
         """Of each text: number of ids, decimal ids joined by a space, what these decode to."""
@@ -144,19 +137,31 @@ class WordBpe:
 
     def ids_of(self, texts: list[bytes]) -> list[tuple[int, bytes]]:
         """Of each text: number of ids, decimal ids joined by a space."""
-        w = Words(texts)
-        rows = self.cache.rows(w.hash, lambda new: self.learn([w.word(i).decode() for i in new.tolist()]))
-        counts = np.append(0, np.cumsum(self.cache.take(0, rows, "<u4")[0].astype(np.int64)))[w.first]
-        flat, at = self.cache.take(1, rows)
-        ids, x = flat.tobytes(), at[w.first].tolist()
+        special = [b"<|" in t and self.split_special.search(t.decode()) is not None for t in texts]
         out = []
-        for i, t in enumerate(texts):
-            if b"<|" in t and self.split_special.search(s := t.decode()):
-                out.append(self.with_special(s))
-            else:
-                out.append((int(counts[i + 1] - counts[i]), ids[x[i] + 1 : x[i + 1]]))
+        for many in self._in_turn([t for t, s in zip(texts, special, strict=True) if not s]):
+            ids = b"".join(many)
+            out.append((ids.count(b" "), ids[1:]))
         self.cache.trim()
-        return out
+        plain = iter(out)
+        return [self.with_special(t.decode()) if s else next(plain) for t, s in zip(texts, special, strict=True)]
+
+    def _in_turn(self, texts: list[bytes]):
+        """Of each text the records of its stretches between white space; words of all short texts are learned at once."""
+        short = [t.split() if len(t) <= CHUNKED else None for t in texts]
+        self.cache.fill({w for words in short if words for w in words}, self.learn)
+        for text, words in zip(texts, short, strict=True):
+            if words is not None:
+                yield list(map(self.cache.__getitem__, words))
+                continue
+            found = []
+            for piece in chunks(text):
+                words = piece.split()
+                self.cache.trim()
+                self.cache.fill({*words}, self.learn)
+                found.append(b"".join(map(self.cache.__getitem__, words)))
+            yield found
+            self.cache.fill({w for words in short if words for w in words}, self.learn)
 
     def with_special(self, text: str) -> tuple[int, bytes]:
         n, found = 0, []
@@ -189,31 +194,33 @@ def lower(s: str) -> str:
     return s.replace("Σ", "σ").lower()
 
 
-SCHEMA = "n_tokens bigint, ids string, decoded string"
-
-
-def _encoder(path: str, digests: bool):
+def _encoder(path: str, digests: bool, decoded: bool):
     def run(batches):
         enc = shared(path)
+        sha = lambda x: hashlib.sha256(x).hexdigest()
+        shown = sha if digests else bytes.decode
         for batch in batches:
             texts = column_bytes(batch.column("text"))
-            for a, b in slices([len(t) for t in texts]):
-                got = enc.encode_texts(texts[a:b])
-                cols = [batch.column("doc_id").slice(a, b - a), pa.array([g[0] for g in got], pa.int64())]
-                for k in (1, 2):
-                    cols.append(pa.array([hashlib.sha256(g[k]).hexdigest() if digests else g[k].decode() for g in got], pa.string()))
-                yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n_tokens", "ids", "decoded"])
+            for a, b in slices([len(t) for t in texts], 1_000_000):
+                got = enc.ids_of(texts[a:b])
+                cols = [batch.column("doc_id").slice(a, b - a), pa.array([n for n, _ in got], pa.int64()), pa.array([shown(ids) for _, ids in got], pa.string())]
+                if decoded:
+                    cols.append(pa.array([shown(enc.decode_ids(ids)) for _, ids in got], pa.string()))
+                yield pa.RecordBatch.from_arrays(cols, NAMES[: len(cols)])
 
     return run
 
 
-def encode(docs: DataFrame, path: str, digests: bool = False) -> DataFrame:
+NAMES = ["doc_id", "n_tokens", "ids", "decoded"]
+
+
+def encode(docs: DataFrame, path: str, digests: bool = False, decoded: bool = True) -> DataFrame:
     """doc_id, n_tokens, ids (decimal, joined by a space) and decoded (from these ids, as decode() does); their SHA-256 instead if digests.
 
-    path: the tokenizers file, which every executor has, like the library.
+    path: the tokenizers file, which every executor has, like the library. decoded: whether that column is wanted.
     """
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return d.mapInArrow(_encoder(path, digests), f"doc_id bigint, {SCHEMA}")
+    return d.mapInArrow(_encoder(path, digests, decoded), "doc_id bigint, n_tokens bigint, ids string" + ", decoded string" * decoded)
 
 
 def _decoder(path: str):

@@ -1,13 +1,15 @@
-"""Shared pieces: the scratch folder, byte-level tokenising in numpy, map helpers.
+"""Shared pieces: the scratch folder, words and hashes of their sequences, map helpers.
 
-Word classes are byte tables over UTF-8: every byte of 0x80 and above belongs to
-a word, so ASCII classes hold for whole code points too.
+Words are split in UTF-8: every byte of 0x80 and above belongs to a word, so ASCII
+classes hold for whole code points too. Sequences of words are hashed from keyed
+64-bit digests of the words, mixed pairwise; caches compare the bytes themselves.
 """
 
 from __future__ import annotations
 
 import atexit
-import tempfile
+import hashlib
+import re
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -16,18 +18,19 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: ASCII white space that ends a word.
-WHITE = b"\x20\x09\x0a\x0b\x0c\x0d"
 #: Java and RE2 class of word characters for these words.
 WORD = r"[^\x20\x09-\x0D]+"
 GAP = r"[\x20\x09-\x0D]+"
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder in spark.checkpoint.dir; a temporary one only where it is unset."""
+    """The shared folder in spark.checkpoint.dir. Where it is unset: a folder of the driver's in local mode, else an error."""
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="lexweave-"))
+        where = sc.getConf().get("spark.checkpoint.dir")
+        if not where and not re.fullmatch(r"local(\[[^]]*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(where or f"/tmp/lexweave-{uuid.uuid4().hex[:12]}")
     return sc._jsc.sc().getCheckpointDir().get()
 
 
@@ -90,36 +93,7 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | N
     return df.mapInArrow(run, schema)
 
 
-# ---------------------------------------------------------------- numpy hashing
-
-
-def _draw(seed: int, n: int) -> np.ndarray:
-    return np.random.Generator(np.random.PCG64(seed)).integers(1, 2**63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-
-
-class Rolling:
-    """Polynomial hashes of stretches of a sequence, from one running sum.
-
-    hash(i, j) = sum of value[k] * P**(k - i) over i <= k < j, modulo 2**64, mixed.
-    """
-
-    def __init__(self, seed: int):
-        self.base = int(_draw(seed, 1)[0]) | 5
-        self.inverse = pow(self.base, -1, 2**64)
-        self.powers = self.inverses = np.ones(1, np.uint64)
-
-    def grow(self, n: int) -> None:
-        if len(self.powers) < n:
-            for name, x in (("powers", self.base), ("inverses", self.inverse)):
-                a = np.full(n, x, np.uint64)
-                a[0] = 1
-                setattr(self, name, np.cumprod(a, dtype=np.uint64))
-
-    def spans(self, values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        self.grow(len(values) + 1)
-        total = np.zeros(len(values) + 1, np.uint64)
-        np.cumsum(values * self.powers[: len(values)], dtype=np.uint64, out=total[1:])
-        return mix((total[end] - total[start]) * self.inverses[start])
+# ---------------------------------------------------------------- words and their hashes
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -129,47 +103,66 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def byte_class(separators: bytes) -> np.ndarray:
-    t = np.ones(256, bool)
-    t[list(separators)] = False
-    return t
+class WordNumbers(dict):
+    """word -> 64 bits of its keyed BLAKE2b digest; short words are kept, up to most of them, while a worker lives."""
 
+    def __init__(self, key: bytes, most: int = 400_000):
+        super().__init__()
+        self.key, self.most = key, most
 
-WHITE_CLASS = byte_class(WHITE)
-_BYTES = _draw(11, 256)
-_ROLL = Rolling(12)
-_BYTES2 = _draw(13, 256)
-_ROLL2 = Rolling(14)
+    def __missing__(self, word: bytes) -> int:
+        number = int.from_bytes(hashlib.blake2b(word, digest_size=8, key=self.key).digest(), "little")
+        if len(word) <= 64:
+            if len(self) >= self.most:
+                self.clear()
+            self[word] = number
+        return number
 
 
-class Words:
-    """The words of a batch of texts, as arrays.
+NUMBERS, NUMBERS2 = WordNumbers(b"first"), WordNumbers(b"second")
+CHUNK = 4_000_000
 
-    start, end: byte positions in buf; hash: 64 bits; first: index of each text's
-    first word, and the number of words at the end. A null text has none.
-    """
 
-    def __init__(self, texts: list[bytes], is_word: np.ndarray = WHITE_CLASS, sep: bytes = b" ", second: bool = False, hashed: bool = True):
-        self.buf = sep.join(texts) + sep
-        data = np.frombuffer(self.buf, np.uint8)
-        inside = is_word[data].view(np.int8)
-        edges = np.diff(inside, prepend=np.int8(0))
-        self.start, self.end = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
-        offsets = np.zeros(len(texts) + 1, np.int64)
-        np.cumsum([len(t) + 1 for t in texts], out=offsets[1:])
-        self.first = np.searchsorted(self.start, offsets)
-        if hashed:
-            self.hash = _ROLL.spans(_BYTES[data], self.start, self.end)
-        if second:
-            self.hash2 = _ROLL2.spans(_BYTES2[data], self.start, self.end)
+def chunks(text: bytes, most: int = CHUNK) -> Iterator[bytes]:
+    """A text in stretches of about so many bytes that end where a word ends, so that few words are objects at once."""
+    at = 0
+    while len(text) - at > most and (gap := _GAP.search(text, at + most)):
+        yield text[at : gap.start()]
+        at = gap.start()
+    yield text[at:] if at else text
+
+
+_GAP = re.compile(rb"(?<=[^\x20\x09-\x0d])[\x20\x09-\x0d]")
+
 
-    def word(self, i: int) -> bytes:
-        return self.buf[self.start[i] : self.end[i]]
+def word_numbers(texts: list[bytes], *numbers: WordNumbers) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The words between ASCII white space of texts: the place of each text's first word (and the end), and their numbers in each of `numbers`."""
+    first, parts = [0], [[] for _ in numbers]
+    for text in texts:
+        n = 0
+        for piece in chunks(text):
+            words = piece.split()
+            n += len(words)
+            for part, of in zip(parts, numbers, strict=True):
+                part.append(np.fromiter(map(of.__getitem__, words), np.uint64, len(words)))
+        first.append(first[-1] + n)
+    return np.array(first), [np.concatenate(part) if part else np.zeros(0, np.uint64) for part in parts]
 
 
-def piece_hash(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Hashes of stretches of bytes."""
-    return _ROLL.spans(_BYTES[data], start, end)
+def windows(values: np.ndarray, size: int) -> np.ndarray:
+    """A hash of every `size` consecutive values. Halves are mixed as in a tree, so no algebra of the sequence carries over."""
+    if len(values) < size:
+        return np.zeros(0, np.uint64)
+    pair = lambda x, y: mix(x * np.uint64(0x9E3779B97F4A7C15) + y)
+    out, done, width, part = None, 0, 1, mix(values)
+    while True:
+        if size & width:
+            out = part if out is None else pair(out[: len(part) - done], part[done:])
+            done += width
+        if done == size:
+            return out
+        part = pair(part[:-width], part[width:])
+        width *= 2
 
 
 def column_bytes(column: pa.Array) -> list[bytes]:
@@ -213,57 +206,26 @@ def unpacked(df: DataFrame, **changed: Column) -> DataFrame:
     return df.select(*[changed[c].alias(c) if c in changed else F.col("_row").getField(c).alias(c) for c in names])
 
 
-class RecordCache:
-    """Byte records by 64-bit hash, in flat arrays; kept between tasks of a worker.
+class PieceCache(dict):
+    """piece -> its record, by the bytes of the piece themselves; a worker's, emptied once it holds more than most bytes."""
 
-    A table of 2**bits slots maps a hash to its record; a newer hash takes a slot
-    from an older one. Once the records exceed most bytes, all go. Keys are hashes
-    alone: among 4 million entries two texts share one with a chance of 1e-6.
-    """
-
-    def __init__(self, channels: int, bits: int = 22, most: int = 150_000_000):
-        self.channels, self.bits, self.most = channels, bits, most
-        self.key, self.row = np.zeros(1 << bits, np.uint64), np.full(1 << bits, -1, np.int32)
-        self.flat = [np.zeros(1 << 16, np.uint8) for _ in range(channels)]
-        self.at = np.zeros((channels, 1 << 12), np.int64)
-        self.n = 0
-
-    def rows(self, keys: np.ndarray, learn: Callable[[np.ndarray], list[list[bytes]]]) -> np.ndarray:
-        """The record of each key. learn: gets the places in keys of new ones, gives records by channel."""
-        slot = (keys >> np.uint64(64 - self.bits)).astype(np.int64)
-        rows = np.where(self.key[slot] == keys, self.row[slot], -1).astype(np.int64)
-        miss = np.flatnonzero(rows < 0)
-        if len(miss):
-            new, first, inverse = np.unique(keys[miss], return_index=True, return_inverse=True)
-            got = learn(miss[first])
-            n = self.n + len(new)
-            if n >= self.at.shape[1]:
-                self.at = np.concatenate([self.at, np.zeros((self.channels, max(n + 1, self.at.shape[1])), np.int64)], axis=1)
-            for c, records in enumerate(got):
-                ends = self.at[c, self.n] + np.cumsum([len(r) for r in records])
-                self.at[c, self.n + 1 : n + 1] = ends
-                while len(self.flat[c]) < ends[-1]:
-                    self.flat[c] = np.concatenate([self.flat[c], np.zeros_like(self.flat[c])])
-                self.flat[c][self.at[c, self.n] : ends[-1]] = np.frombuffer(b"".join(records), np.uint8)
-            place = (new >> np.uint64(64 - self.bits)).astype(np.int64)
-            self.key[place], self.row[place] = new, self.n + np.arange(len(new))
-            rows[miss] = self.n + inverse
-            self.n = n
-        return rows
-
-    def take(self, channel: int, rows: np.ndarray, dtype=np.uint8) -> tuple[np.ndarray, np.ndarray]:
-        """The records of rows joined, as dtype, and their offsets in it."""
-        width = np.dtype(dtype).itemsize
-        return take(self.flat[channel][: self.at[channel, self.n]].view(dtype), self.at[channel, : self.n + 1] // width, rows)
+    #: What an entry takes besides its bytes.
+    ENTRY = 180
 
-    def trim(self) -> None:
-        if self.at[:, self.n].sum() > self.most:
-            self.__init__(self.channels, self.bits, self.most)
+    def __init__(self, most: int = 60_000_000):
+        super().__init__()
+        self.most, self.held = most, 0
 
+    def fill(self, pieces: set[bytes], learn: Callable[[list[bytes]], list[bytes]]) -> None:
+        """Records of the pieces that are missing."""
+        new = list(pieces - self.keys())
+        for i in range(0, len(new), 50_000):
+            part = new[i : i + 50_000]
+            got = learn(part)
+            self.update(zip(part, got, strict=True))
+            self.held += sum(map(len, part)) + sum(map(len, got)) + self.ENTRY * len(part)
 
-def take(flat: np.ndarray, at: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Stretches flat[at[i]:at[i + 1]] of the chosen i, joined, and their offsets."""
-    size = at[which + 1] - at[which]
-    out = np.zeros(len(which) + 1, np.int64)
-    np.cumsum(size, out=out[1:])
-    return flat[np.repeat(at[which] - out[:-1], size) + np.arange(out[-1])], out
+    def trim(self) -> None:
+        if self.held > self.most:
+            self.clear()
+            self.held = 0

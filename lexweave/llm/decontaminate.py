@@ -7,8 +7,9 @@ occurrence, a hash of the last block selects the strings to try, and the words
 themselves are compared before an occurrence counts. Cursors run over many stretches
 of a batch in lock step, which is how numpy does the loop.
 
-Benchmark items reach the executors in blocks of at most BLOCK_BYTES of text, however
-large the benchmark is; each block is searched in every whole document.
+The benchmark is written to the shared folder; executors read it in blocks of at most
+BLOCK_BYTES of text, however large it is, and search every block in each stretch of
+whole documents. So documents are read once and no item passes the driver.
 
 Null or wordless texts have no words and are never hit; an item without words gives
 no string; items with equal windows all count; repeated rows give a row each; a
@@ -19,21 +20,22 @@ from __future__ import annotations
 
 import hashlib
 from collections import defaultdict
+from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, byte_class, column_bytes, match_rows, packed, slices, table, unpacked, with_row_key
+from .common import chunks, column_bytes, cut, match_rows, packed, slices, table, unpacked, with_row_key
 
 SIZE = 8
 LEAST_ITEMS = 2
 BLOCK_BYTES = 16_000_000
 STRETCH = 512
-#: A-Z to a-z; what is no digit, letter or byte above 0x7F ends a word.
-LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
-IN_WORD = byte_class(bytes([*range(0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)]))
+#: A-Z to a-z; what is no digit, letter or byte above 0x7F ends a word and becomes a blank.
+PLAIN = bytes(b + 32 if 65 <= b <= 90 else b if b > 0x7F or chr(b).isalnum() else 32 for b in range(256))
 
 
 class Searcher:
@@ -86,63 +88,98 @@ class Strings:
     """Searchers over the windows of some items (id and text)."""
 
     def __init__(self, items: list[tuple[str, bytes]], size: int):
-        w = Words([t.translate(LOWER) for _, t in items], IN_WORD, b"\n")
-        kinds, ids = np.unique(w.hash, return_inverse=True)
-        self.vocabulary = kinds
-        self.spelling: list[bytes] = [b""] * len(kinds)
-        for i, k in enumerate(ids):
-            self.spelling[k] = w.word(i)
+        self.vocabulary: dict[bytes, int] = {}
         owners: dict[tuple[int, ...], set[str]] = defaultdict(set)
-        for (item, _), a, b in zip(items, w.first, w.first[1:], strict=False):
-            words = (ids[a:b] + 1).tolist()
+        for item, text in items:
+            words = [self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in text.translate(PLAIN).split()]
             for i in range(max(1, len(words) - size + 1) if words else 0):
                 owners[tuple(words[i : i + size])].add(item)
         by_length = defaultdict(list)
         for s in owners:
             by_length[len(s)].append(s)
-        self.searchers = [(Searcher(s), [sorted(owners[x]) for x in s], s) for s in by_length.values()]
-
-    def search(self, w: Words) -> list[tuple[int, np.ndarray, np.ndarray, list[list[str]]]]:
-        """Per length: the length, index of the first word of each occurrence, the string, its items."""
-        texts = np.arange(len(w.first) - 1)
-        place = np.minimum(np.searchsorted(self.vocabulary, w.hash), max(0, len(self.vocabulary) - 1))
-        known = self.vocabulary[place] == w.hash if len(self.vocabulary) else np.zeros(len(place), bool)
-        doc = np.repeat(texts, np.diff(w.first))
-        ids = np.zeros(len(w.hash) + len(texts) + 1, np.int64)  # a zero after each text
-        at = np.arange(len(w.hash)) + doc
-        ids[at] = np.where(known, place + 1, 0)
-        back = np.zeros(len(ids), np.int64)
-        back[at] = np.arange(len(w.hash))
+        self.searchers = [(Searcher(s), [sorted(owners[x]) for x in s]) for s in by_length.values()]
+
+    def numbers(self, text: bytes) -> np.ndarray:
+        """The words of a text by their number in the vocabulary; 0 for one that no item has."""
+        parts = []
+        for piece in chunks(text.translate(PLAIN)):
+            words = piece.split()
+            parts.append(np.fromiter(map(self.vocabulary.get, words, repeat(0)), np.int64, len(words)))
+        return np.concatenate(parts)
+
+    def search(self, texts: list[bytes]) -> tuple[list[int], list[tuple[int, np.ndarray, np.ndarray, np.ndarray, list[list[str]]]]]:
+        """The number of words of each text; per length of string: the length, the text and first word of each occurrence, the string, each string's items."""
+        found = [self.numbers(t) for t in texts]
+        sizes = np.array([len(x) for x in found], np.int64)
+        begin = np.append(0, np.cumsum(sizes + 1))  # a zero after each text
+        ids = np.concatenate([y for x in found for y in (x, np.zeros(1, np.int64))]) if found else np.zeros(0, np.int64)
         out = []
-        for s, items, strings in self.searchers:
+        for s, items in self.searchers:
             end, which = s.find(ids)
-            start = back[end] - (s.m - 1)
-            right = [i for i, (a, k) in enumerate(zip(start, which, strict=True)) if all(w.word(a + j) == self.spelling[x - 1] for j, x in enumerate(strings[k]))]
-            out.append((s.m, start[right], which[right], items))
-        return out
+            start = end - (s.m - 1)
+            text = np.searchsorted(begin, start, "right") - 1
+            out.append((s.m, text, start - begin[text], which, items))
+        return sizes.tolist(), out
 
 
 SCHEMA = "doc_id bigint, _rk bigint, n_words bigint, runs array<struct<a:bigint,b:bigint>>, items array<string>"
 
 
-def _search_batches(items: list[tuple[str, bytes]], size: int):
-    ready: list[Strings] = []
+def read_blocks(uri: str, block_bytes: int) -> Iterator[list[tuple[str, bytes]]]:
+    """Lists of items of at most so many bytes of text (or one longer item) from a table of item_id and text."""
+    import pyarrow.parquet as pq
+    from pyarrow.fs import FileSelector, FileSystem
 
+    fs, root = FileSystem.from_uri(uri)
+    held, size = [], 0
+    for f in sorted(x.path for x in fs.get_file_info(FileSelector(root)) if x.path.endswith(".parquet")):
+        with fs.open_input_file(f) as opened:
+            for batch in pq.ParquetFile(opened).iter_batches(1000, columns=["item_id", "text"]):
+                for item, text in zip(batch.column("item_id").to_pylist(), column_bytes(batch.column("text")), strict=True):
+                    if held and size + len(text) > block_bytes:
+                        yield held
+                        held, size = [], 0
+                    held.append((item, text))
+                    size += len(text)
+    yield held
+
+
+#: The worker's searchers of the last benchmark that is one block.
+_ONLY: dict[str, Strings] = {}
+
+
+def _strings(uri: str, size: int, block_bytes: int) -> Iterator[Strings]:
+    if (key := f"{uri} {size} {block_bytes}") in _ONLY:
+        yield _ONLY[key]
+        return
+    made, last = 0, None
+    for items in read_blocks(uri, block_bytes):
+        last = None  # one block is held at a time
+        last = Strings(items, size)
+        made += 1
+        yield last
+    if made == 1:
+        _ONLY.clear()
+        _ONLY[key] = last
+
+
+def _search_batches(uri: str, size: int, block_bytes: int):
     def run(batches):
-        if not ready:
-            ready.append(Strings(items, size))
         for batch in batches:
             texts = column_bytes(batch.column("text"))
-            for a, b in slices([len(t) for t in texts]):
-                w = Words([t.translate(LOWER) for t in texts[a:b]], IN_WORD, b"\n")
-                runs, names = [[] for _ in range(b - a)], [set() for _ in range(b - a)]
-                for length, start, which, owners in ready[0].search(w):
-                    docs = np.searchsorted(w.first, start, "right") - 1
-                    for s, k, d in zip(start.tolist(), which.tolist(), docs.tolist(), strict=True):
-                        names[d].update(owners[k])
-                        runs[d].append((s - int(w.first[d]), s - int(w.first[d]) + length))
+            runs, names, sizes = [[] for _ in texts], [set() for _ in texts], []
+            for block in _strings(uri, size, block_bytes):
+                sizes = []
+                for a, b in slices([len(t) for t in texts]):
+                    n, found = block.search(texts[a:b])
+                    sizes += n
+                    for length, text, start, which, owners in found:
+                        for s, k, d in zip(start.tolist(), which.tolist(), (text + a).tolist(), strict=True):
+                            names[d].update(owners[k])
+                            runs[d].append((s, s + length))
+            if texts:
                 yield pa.RecordBatch.from_arrays([
-                    batch.column("doc_id").slice(a, b - a), batch.column("_rk").slice(a, b - a), pa.array(np.diff(w.first), pa.int64()),
+                    batch.column("doc_id"), batch.column("_rk"), pa.array(sizes, pa.int64()),
                     pa.array([[{"a": x, "b": y} for x, y in _joined(r)] for r in runs], pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))),
                     pa.array([sorted(x) for x in names], pa.list_(pa.string())),
                 ], ["doc_id", "_rk", "n_words", "runs", "items"])
@@ -161,33 +198,11 @@ def _joined(runs) -> list[tuple[int, int]]:
     return out
 
 
-def blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES):
-    """Lists of items of at most so many bytes of text (or one longer item), read one partition at a time."""
-    rows = benchmark.where("item_id IS NOT NULL AND text IS NOT NULL").select(F.col("item_id").cast("string").alias("item_id"), "text")
-    held, size = [], 0
-    for r in rows.toLocalIterator():
-        text = r["text"].encode()
-        if held and size + len(text) > block_bytes:
-            yield held
-            held, size = [], 0
-        held.append((r["item_id"], text))
-        size += len(text)
-    yield held
-
-
 def search(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """doc_id, _rk, n_words, runs (hit stretches of words, from and to) and items, a row per document."""
     d = with_row_key(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), "text")
-    found = [d.mapInArrow(_search_batches(items, size), SCHEMA) for items in blocks(benchmark, block_bytes)]
-    if len(found) == 1:
-        return found[0]
-    hits = found[0].where("size(items) > 0")
-    for f in found[1:]:
-        hits = hits.unionByName(f.where("size(items) > 0"))
-    joined = F.udf(lambda runs: [{"a": a, "b": b} for a, b in _joined((r["a"], r["b"]) for r in runs)], "array<struct<a:bigint,b:bigint>>")
-    per = hits.groupBy("doc_id", "_rk").agg(joined(F.flatten(F.collect_list("runs"))).alias("runs"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"))
-    out = match_rows(found[0].select("doc_id", "_rk", "n_words"), per, "left")
-    return out.select("doc_id", "_rk", "n_words", F.coalesce("runs", F.array().cast("array<struct<a:bigint,b:bigint>>")).alias("runs"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))
+    items = cut(benchmark.where("item_id IS NOT NULL AND text IS NOT NULL").select(F.col("item_id").cast("string").alias("item_id"), "text"), "benchmark")
+    return d.mapInArrow(_search_batches(items._cut_path, size, block_bytes), SCHEMA)
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, least_items: int = LEAST_ITEMS) -> DataFrame:

@@ -32,14 +32,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Rolling, Words, column_bytes, cut, match_rows, mix, packed, slices, table, unpacked, with_row_key
+from .common import NUMBERS, column_bytes, cut, match_rows, mix, packed, slices, table, unpacked, windows, with_row_key, word_numbers
 from .components import components
 
 K, PERCENT = 4, 85
 STARS = 2
 SHORT = 128
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
-_SHINGLES = Rolling(31)
 _ORDERS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 
 
@@ -55,15 +54,15 @@ def spare(n, percent: int):
 
 def sets(texts: list[bytes], k: int) -> list[np.ndarray]:
     """The sorted hashes of each text's set."""
-    w = Words([t.translate(LOWER) for t in texts])
-    n = np.diff(w.first)
-    text = np.repeat(np.arange(len(n)), n)
-    at = np.arange(len(w.hash))
-    at = at[at + np.minimum(k, n[text]) <= w.first[1:][text]]
-    at = at[(n[text[at]] >= k) | (at == w.first[:-1][text[at]])]
-    h = _SHINGLES.spans(w.hash, at, at + np.minimum(k, n[text[at]]))
-    cuts = np.searchsorted(text[at], np.arange(len(n) + 1))
-    return [np.unique(h[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
+    first, (numbers,) = word_numbers([t.translate(LOWER) for t in texts], NUMBERS)
+    every = windows(numbers, k)
+    out = []
+    for a, b in zip(first, first[1:], strict=False):
+        if b - a >= k:
+            out.append(np.unique(every[a : b - k + 1]))
+        else:
+            out.append(windows(numbers[a:b], int(b - a)) if b > a else numbers[:0])
+    return out
 
 
 def _per_set(columns: list[str], k: int, fn, types):

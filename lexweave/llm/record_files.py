@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import RecordCache, Words, byte_class, column_bytes, piece_hash, scratch, slices, table
+from .common import PieceCache, chunks, column_bytes, scratch, slices, table
 
 NAME = "byte_bpe_50k.json"
 END_ID = 0
@@ -38,9 +38,8 @@ MASK = 0xA282EAD8
 NULL_ID = -(2**63)
 #: White space beyond ASCII: texts that hold some go to the library whole.
 UNUSUAL = re.compile(rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
-
-
-MARK, ALNUM = ~byte_class(b".,;:!?"), ~byte_class(bytes([*range(48, 58), *range(65, 91), *range(97, 123)]))
+#: A word of ASCII letters that white space or a mark ends; any other word; white space but the last before a word; white space.
+PIECE = re.compile(rb" ?[A-Za-z]++(?=[\t-\r .,;:!?])| ?[^\t-\r ]++|[\t-\r ]+(?=[\t-\r ][^\t-\r ])|[\t-\r ]+")
 
 
 def masked_crc(data: bytes) -> int:
@@ -70,7 +69,8 @@ class PieceEncoder:
     The library's pattern never joins a word to what follows it, and takes from the
     white space before a word only one blank. So a text falls into words with the
     blank before them, and what other white space there is. New words go to the library in one text,
-    a line feed between each two, at whose id the result parts.
+    a line feed between each two, at whose id the result parts. A text with white space beyond
+    ASCII or with a special token's string goes to it whole.
     """
 
     def __init__(self, path: str):
@@ -85,7 +85,7 @@ class PieceEncoder:
         self.special = re.compile("|".join(re.escape(t["content"]) for t in spec["added_tokens"]).encode())
         self.dtype = np.dtype("<u2" if self.lib.get_vocab_size() <= 65536 else "<u4")
         self.line_feed = self.lib.encode("\n").ids[0]
-        self.cache = RecordCache(1)
+        self.cache = PieceCache()
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, self.dtype) for e in self.lib.encode_batch_fast(texts, add_special_tokens=False)]
@@ -108,30 +108,17 @@ class PieceEncoder:
     def encode(self, texts: list[bytes]) -> list[bytes]:
         odd = [i for i, t in enumerate(texts) if UNUSUAL.search(t) or (b"<|" in t and self.special.search(t))]
         whole = dict(zip(odd, self.ids([texts[i].decode() for i in odd]), strict=True)) if odd else {}
-        w = Words([b"" if i in whole else t for i, t in enumerate(texts)], hashed=False)
-        data = np.frombuffer(w.buf, np.uint8)
-        bounds = np.append(0, np.cumsum([0 if i in whole else len(t) for i, t in enumerate(texts)]) + np.arange(1, len(texts) + 1))
-        doc = np.repeat(np.arange(len(texts)), np.diff(w.first))
-        before = np.append(0, w.end[:-1])
-        before = np.maximum(before, bounds[:-1][doc])  # where the white space before a word begins
-        blank = (w.start > before) & (data[w.start - 1] == 32)
-        lone = (w.start > before) & ~blank
-        long = w.start > before + 1
-        last = bounds[:-1].copy()
-        full = np.diff(w.first) > 0
-        last[full] = w.end[w.first[1:][full] - 1]
-        rest = last < bounds[1:] - 1
-        # a mark after an ASCII letter or digit is a piece of its own
-        mark = MARK[data[w.end - 1]] & (w.end - 1 > w.start) & ALNUM[data[w.end - 2]]
-        start = np.concatenate([w.start - blank, w.end[mark] - 1, w.start[lone] - 1, before[long], last[rest]])
-        end = np.concatenate([w.end - mark, w.end[mark], w.start[lone], w.start[long] - 1, bounds[1:][rest] - 1])
-        order = np.argsort(start, kind="stable")
-        start, end = start[order], end[order]
-        rows = self.cache.rows(piece_hash(data, start, end), lambda new: [self.learn([w.buf[start[i] : end[i]] for i in new.tolist()])])
-        flat, at = self.cache.take(0, rows, self.dtype)
-        cuts = at[np.searchsorted(start, bounds)]
+        out = []
+        for i, t in enumerate(texts):
+            out.append(whole[i].tobytes() if i in whole else b"".join(map(self.pieces, chunks(t))))
         self.cache.trim()
-        return [whole[i].tobytes() if i in whole else flat[a:b].tobytes() for i, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False))]
+        return out
+
+    def pieces(self, text: bytes) -> bytes:
+        """Ids of a text that ends where a word ends."""
+        found = PIECE.findall(text)
+        self.cache.fill({*found}, self.learn)
+        return b"".join(map(self.cache.__getitem__, found))
 
 
 def shared(path: str) -> PieceEncoder:

@@ -27,21 +27,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import Rolling, Words, column_bytes, cut, map_batches, match_rows, mix, scratch, slices, table, with_row_key
+from .common import NUMBERS, NUMBERS2, column_bytes, cut, map_batches, match_rows, mix, scratch, slices, table, windows, with_row_key, word_numbers
 
 SIZE, GRAM, FAN_IN, BATCHES = 50, 16, 2, 2
-_GRAMS, _WINDOWS, _WINDOWS2 = Rolling(21), Rolling(22), Rolling(23)
 
 
-def fingerprints(w: Words, size: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First word, text and fingerprint of every window."""
-    n = len(w.hash)
-    text = np.repeat(np.arange(len(w.first) - 1), np.diff(w.first))
-    at = np.flatnonzero(np.arange(n) + size <= w.first[1:][text]) if n else np.zeros(0, np.int64)
+def fingerprints(first: np.ndarray, numbers: np.ndarray, size: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First word, text and fingerprint of every window of texts; first, numbers: as word_numbers() gives them."""
+    n = len(numbers)
+    text = np.repeat(np.arange(len(first) - 1), np.diff(first))
+    at = np.flatnonzero(np.arange(n) + size <= first[1:][text]) if n else np.zeros(0, np.int64)
     if not len(at):
         return at, at, np.zeros(0, np.uint64)
-    start = np.arange(n - gram + 1)
-    least = _GRAMS.spans(w.hash, start, start + gram)
+    least = windows(numbers, gram)
     width, want = 1, size - gram + 1
     while width < want:  # least[i] spans width stretches
         step = min(width, want - width)
@@ -61,7 +59,8 @@ def anchors(docs: DataFrame, size: int, gram: int) -> DataFrame:
         for batch in batches:
             texts = column_bytes(batch.column("text"))
             for a, b in slices([len(t) for t in texts]):
-                _, text, fp = fingerprints(Words(texts[a:b]), size, gram)
+                first, (numbers,) = word_numbers(texts[a:b], NUMBERS)
+                _, text, fp = fingerprints(first, numbers, size, gram)
                 if len(fp):
                     new = np.append(True, (fp[1:] != fp[:-1]) | (text[1:] != text[:-1]))
                     which = pa.array(text[new])
@@ -82,8 +81,8 @@ def shared_windows(docs: DataFrame, size: int, gram: int) -> DataFrame:
         for batch in batches:
             texts = column_bytes(batch.column("text"))
             for a, b in slices([len(t) for t in texts]):
-                w = Words(texts[a:b], second=True)
-                at, text, fp = fingerprints(w, size, gram)
+                first, (numbers, numbers2) = word_numbers(texts[a:b], NUMBERS, NUMBERS2)
+                at, text, fp = fingerprints(first, numbers, size, gram)
                 lists = batch.column("fps").slice(a, b - a)
                 owner = np.repeat(np.arange(b - a), pa.compute.list_value_length(lists).to_numpy())
                 wanted = lists.flatten().to_numpy().view(np.uint64)
@@ -92,7 +91,7 @@ def shared_windows(docs: DataFrame, size: int, gram: int) -> DataFrame:
                 at, text = at[keep], text[keep]
                 if not len(at):
                     continue
-                wh, w2 = _WINDOWS.spans(w.hash, at, at + size), (_WINDOWS2.spans(w.hash2, at, at + size) >> np.uint64(33)).astype(np.int64)
+                wh, w2 = windows(numbers, size)[at], (windows(numbers2, size)[at] >> np.uint64(33)).astype(np.int64)
                 ids = batch.column("doc_id").slice(a, b - a).to_numpy()[text]
                 order = np.lexsort((ids, w2, wh))
                 head = np.append(True, (wh[order][1:] != wh[order][:-1]) | (w2[order][1:] != w2[order][:-1]))
@@ -100,7 +99,7 @@ def shared_windows(docs: DataFrame, size: int, gram: int) -> DataFrame:
                 found = np.zeros(len(at), bool)
                 found[order] = ids[order] > least
                 wh = np.where(found, mix(wh + ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + at.astype(np.uint64)), wh)
-                pos = at - w.first[text]
+                pos = at - first[text]
                 which = pa.array(text)
                 yield pa.RecordBatch.from_arrays([pa.array(wh.view(np.int64)), pa.array(w2.astype(np.int32)), *(c.take(which) for c in _ids(batch, a, b)), pa.array(pos.astype(np.int32)), pa.array(found)], ["wh", "w2", "doc_id", "_rk", "pos", "found"])
 

@@ -88,7 +88,7 @@ def test_many_runs_equal_one(spark, dirs):
 def test_benchmark_blocks(spark, dirs):
     """Blocks of strings give what one search gives."""
     docs, items = _rows(spark, dirs["unique"]), spark.read.parquet(f"{dirs['unique']}/benchmark.parquet")
-    both = [sorted((r["doc_id"], r["n_words"], str(r["runs"]), sorted(r["items"])) for r in decontaminate.search(docs, items, block_bytes=b).collect()) for b in (10**6, 100)]
+    both = [sorted((r["doc_id"], r["n_words"], str(r["runs"]), sorted(r["items"])) for r in decontaminate.search(docs, items, block_bytes=b).collect()) for b in (10**6, 100, 1)]
     assert both[0] == both[1]
 
 
