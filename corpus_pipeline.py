@@ -42,7 +42,7 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    return bpe.encode(docs, public_tokenizers.path(bpe.NAME)).select("doc_id", "n_tokens", "ids")
+    return bpe.encode(docs, public_tokenizers.path(bpe.NAME), decoded=False)
 
 
 STAGES = [
