@@ -53,6 +53,7 @@ class WordBpe:
         self.split_special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
         vocab = model["vocab"]
         self.tokens = {str(i).encode(): t.encode() for t, i in [*vocab.items(), *self.special.items()]}
+        self.spelled = [b" %d" % i for i in range(max(vocab.values()) + 1)]
         suffix = model["end_of_word_suffix"] or ""
         letters = _byte_letters()
         self.inner = np.array([vocab[c] for c in letters], np.int64)
@@ -79,12 +80,9 @@ class WordBpe:
         ids = self.inner[data]
         ids[ends - 1] = self.final[data[ends - 1]]
         owner = np.repeat(np.arange(len(words)), sizes)
+        rank = self._ranks(ids, owner, np.arange(len(ids)))
         done: list[tuple[np.ndarray, np.ndarray]] = []
         while len(ids):
-            key = ids[:-1] * self.width + ids[1:]
-            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-            rank = np.where((self.keys[at] == key) & (owner[:-1] == owner[1:]), self.ranks[at], NONE)
-            rank = np.append(rank, NONE)
             begin = np.flatnonzero(np.diff(owner, prepend=-1))
             length = np.diff(begin, append=len(ids))
             least = np.minimum.reduceat(rank, begin)
@@ -105,12 +103,22 @@ class WordBpe:
             ids[hit] = self.made[rank[hit]]
             stay = np.ones(len(ids), bool)
             stay[hit + 1] = False
-            ids, owner = ids[stay], owner[stay]
+            changed = (np.cumsum(stay) - 1)[hit]
+            ids, owner, rank = ids[stay], owner[stay], rank[stay]
+            changed = np.unique(np.append(changed, np.maximum(changed - 1, 0)))  # only pairs with a new symbol have a new rank
+            rank[changed] = self._ranks(ids, owner, changed)
         own = np.concatenate([o for o, _ in done])
         flat = np.concatenate([i for _, i in done])
         order = np.argsort(own, kind="stable")
         return flat[order].tolist(), [0, *np.cumsum(np.bincount(own, minlength=len(words))).tolist()]
 
+    def _ranks(self, ids: np.ndarray, owner: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """The rank of the pairs that begin at these places; NONE where none does."""
+        after = np.minimum(at + 1, len(ids) - 1)
+        key = ids[at] * self.width + ids[after]
+        found = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where((self.keys[found] == key) & (owner[at] == owner[after]) & (at != after), self.ranks[found], NONE)
+
     def pieces(self, stretches: list[str]) -> list[list[str]]:
         """The words of stretches (without line feeds and special strings), normalised."""
         s = "\n".join(stretches)
@@ -126,10 +134,11 @@ class WordBpe:
     def learn(self, stretches: list[bytes]) -> list[bytes]:
         """The ids of each in decimals, every one after a space."""
         parts = self.pieces([x.decode() for x in stretches])
-        distinct = {w: i for i, w in enumerate({w for p in parts for w in p})}
+        distinct = list(set().union(*parts))
         flat, at = self.merge([w.encode() for w in distinct]) if distinct else ([], [0])
-        ids = [b" %d" % i for i in flat]
-        return [b"".join(x for w in p for x in ids[at[distinct[w]] : at[distinct[w] + 1]]) for p in parts]
+        ids = list(map(self.spelled.__getitem__, flat))
+        of = {w: b"".join(ids[i:j]) for w, i, j in zip(distinct, at, at[1:], strict=False)}
+        return [of[p[0]] if len(p) == 1 else b"".join([of[w] for w in p]) for p in parts]
 
     def encode_texts(self, texts: list[bytes]) -> list[tuple[int, bytes, bytes]]:
         """Of each text: number of ids, decimal ids joined by a space, what these decode to."""
@@ -149,7 +158,7 @@ class WordBpe:
     def _in_turn(self, texts: list[bytes]):
         """Of each text the records of its stretches between white space; words of all short texts are learned at once."""
         short = [t.split() if len(t) <= CHUNKED else None for t in texts]
-        self.cache.fill({w for words in short if words for w in words}, self.learn)
+        self.cache.fill(set().union(*filter(None, short)), self.learn)
         for text, words in zip(texts, short, strict=True):
             if words is not None:
                 yield list(map(self.cache.__getitem__, words))
@@ -161,7 +170,7 @@ class WordBpe:
                 self.cache.fill({*words}, self.learn)
                 found.append(b"".join(map(self.cache.__getitem__, words)))
             yield found
-            self.cache.fill({w for words in short if words for w in words}, self.learn)
+            self.cache.fill(set().union(*filter(None, short)), self.learn)
 
     def with_special(self, text: str) -> tuple[int, bytes]:
         n, found = 0, []

@@ -104,16 +104,19 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 class WordNumbers(dict):
-    """word -> 64 bits of its keyed BLAKE2b digest; short words are kept, up to most of them, while a worker lives."""
+    """word -> 64 bits of its keyed BLAKE2b digest. A worker keeps those of short words: of the last `most` it met, and of as many before."""
 
-    def __init__(self, key: bytes, most: int = 400_000):
+    def __init__(self, key: bytes, most: int = 200_000):
         super().__init__()
-        self.key, self.most = key, most
+        self.key, self.most, self.older = key, most, {}
 
     def __missing__(self, word: bytes) -> int:
-        number = int.from_bytes(hashlib.blake2b(word, digest_size=8, key=self.key).digest(), "little")
+        number = self.older.get(word)
+        if number is None:
+            number = int.from_bytes(hashlib.blake2b(word, digest_size=8, key=self.key).digest(), "little")
         if len(word) <= 64:
             if len(self) >= self.most:
+                self.older = dict(self)
                 self.clear()
             self[word] = number
         return number
@@ -207,18 +210,25 @@ def unpacked(df: DataFrame, **changed: Column) -> DataFrame:
 
 
 class PieceCache(dict):
-    """piece -> its record, by the bytes of the piece themselves; a worker's, emptied once it holds more than most bytes."""
+    """piece -> its record, by the bytes of the piece themselves; a worker's. Of two generations of at most half of `most` bytes the older goes."""
 
     #: What an entry takes besides its bytes.
     ENTRY = 180
 
-    def __init__(self, most: int = 60_000_000):
+    def __init__(self, most: int = 80_000_000):
         super().__init__()
-        self.most, self.held = most, 0
+        self.most, self.held, self.older = most, 0, {}
 
     def fill(self, pieces: set[bytes], learn: Callable[[list[bytes]], list[bytes]]) -> None:
         """Records of the pieces that are missing."""
-        new = list(pieces - self.keys())
+        new = []
+        for p in pieces:
+            if p not in self:
+                if (known := self.older.get(p)) is None:
+                    new.append(p)
+                else:
+                    self[p] = known
+                    self.held += self.ENTRY + len(p) + len(known)
         for i in range(0, len(new), 50_000):
             part = new[i : i + 50_000]
             got = learn(part)
@@ -226,6 +236,6 @@ class PieceCache(dict):
             self.held += sum(map(len, part)) + sum(map(len, got)) + self.ENTRY * len(part)
 
     def trim(self) -> None:
-        if self.held > self.most:
+        if self.held > self.most // 2:
+            self.older, self.held = dict(self), 0
             self.clear()
-            self.held = 0

@@ -63,6 +63,10 @@ def unframe(data: bytes) -> bytes:
     return payload
 
 
+#: Texts of more bytes are taken in stretches.
+CHUNKED = 4_000_000
+
+
 class PieceEncoder:
     """Ids of texts as bytes, by way of a bounded cache of pieces.
 
@@ -85,7 +89,7 @@ class PieceEncoder:
         self.special = re.compile("|".join(re.escape(t["content"]) for t in spec["added_tokens"]).encode())
         self.dtype = np.dtype("<u2" if self.lib.get_vocab_size() <= 65536 else "<u4")
         self.line_feed = self.lib.encode("\n").ids[0]
-        self.cache = PieceCache()
+        self.cache = PieceCache(160_000_000)
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, self.dtype) for e in self.lib.encode_batch_fast(texts, add_special_tokens=False)]
@@ -108,15 +112,22 @@ class PieceEncoder:
     def encode(self, texts: list[bytes]) -> list[bytes]:
         odd = [i for i, t in enumerate(texts) if UNUSUAL.search(t) or (b"<|" in t and self.special.search(t))]
         whole = dict(zip(odd, self.ids([texts[i].decode() for i in odd]), strict=True)) if odd else {}
-        out = []
-        for i, t in enumerate(texts):
-            out.append(whole[i].tobytes() if i in whole else b"".join(map(self.pieces, chunks(t))))
+        plain = [None if i in whole else PIECE.findall(t) if len(t) <= CHUNKED else t for i, t in enumerate(texts)]
+        self.cache.fill(set().union(*(p for p in plain if isinstance(p, list))), self.learn)
+        read = self.cache.__getitem__
+        out = [b"".join(map(read, p)) if isinstance(p, list) else p for p in plain]
+        for i, p in enumerate(out):
+            if i in whole:
+                out[i] = whole[i].tobytes()
+            elif isinstance(plain[i], bytes):
+                out[i] = b"".join(map(self._stretch, chunks(p)))
         self.cache.trim()
         return out
 
-    def pieces(self, text: bytes) -> bytes:
-        """Ids of a text that ends where a word ends."""
+    def _stretch(self, text: bytes) -> bytes:
+        """Ids of a stretch of a long text that ends where a word ends."""
         found = PIECE.findall(text)
+        self.cache.trim()
         self.cache.fill({*found}, self.learn)
         return b"".join(map(self.cache.__getitem__, found))
 
