@@ -11,12 +11,18 @@ prefixes that are l - 1 longer. The orders:
 2. by rarity among the posted: of what a class posted, its l' - 1 most frequent tokens
    (l' the least l of a set that may link with it) are not needed, as of l' shared ones
    one remains.
-3., 4. by two other hashes: candidates whose prefixes share no token are not verified.
+3., 4. by two other hashes: candidates whose prefixes in either share no token go before
+   any set is fetched. The prefixes stand in a table of sketches.
+A bitmap in the sketch (BITS bits of which each token flips one) differs in no more bits than
+the sets differ in tokens; it is compared as classes meet in a bucket.
 
 As components are wanted, not pairs, a bucket of classes that post one token is not
 expanded. Each class is first verified with one leader of a bucket; what is linked counts
 as one, and this repeats STARS times. Then all pairs of a bucket between different
-components are verified, so no link between components is lost.
+components that pass the filters are verified, so no link between components is lost.
+
+Words are told by 64-bit keyed digests, shingles by 64 bits mixed from these, equal sets by a
+128-bit digest; a collision of shingles of one pair of sets can shift its overlap by one.
 
 Null texts and texts without words have an empty set and link with nothing. A null
 doc_id links with nothing and is its own component (null). Rows that share a doc_id are
@@ -38,6 +44,7 @@ from .components import components
 K, PERCENT = 4, 85
 STARS = 2
 SHORT = 128
+BITS = 512
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 _ORDERS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 
@@ -152,18 +159,29 @@ def _prefix(s: np.ndarray, order: np.uint64, percent: int) -> np.ndarray:
 
 
 def linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
-    """Whether two sorted sets link; the orders' filters come first."""
+    """Whether two sorted sets link."""
     if min(len(x), len(y)) < needed(max(len(x), len(y)), percent):
         return False
-    for order in _ORDERS:
-        if not len(np.intersect1d(_prefix(x, order, percent), _prefix(y, order, percent))):
-            return False
     both = len(np.intersect1d(x, y, assume_unique=True))
     return 100 * both >= percent * (len(x) + len(y) - both)
 
 
+def sketch(s: np.ndarray, percent: int) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
+    """The set, its prefixes in orders 3 and 4 (32 bits of each token), its bitmap as longs."""
+    flips = (np.bincount((s & np.uint64(BITS - 1)).astype(np.int64), minlength=BITS) & 1).astype(np.uint8)
+    low = lambda x: x.astype(np.uint32).view(np.int32)
+    return s.tobytes(), *(low(_prefix(s, o, percent)) for o in _ORDERS), np.packbits(flips).view(np.int64)
+
+
+def near(percent: int):
+    """The bitmap filter on columns bits and n, bits_b and m."""
+    flipped = sum(F.bit_count(F.get("bits", i).bitwiseXOR(F.get("bits_b", i))) for i in range(BITS // 64))
+    both = F.ceil(F.lit(percent) * (F.col("n") + F.col("m")) / (100 + percent))
+    return flipped <= F.col("n") + F.col("m") - 2 * both
+
+
 def verify(pairs: DataFrame, held: DataFrame, percent: int) -> DataFrame:
-    """The pairs a, b that link; held: rid and set (its hashes' bytes)."""
+    """The pairs a, b that link; held: rid, set (its hashes' bytes), o3 and o4. Orders 3 and 4 come first, and the sets of what they leave."""
 
     def run(batches):
         for batch in batches:
@@ -171,9 +189,11 @@ def verify(pairs: DataFrame, held: DataFrame, percent: int) -> DataFrame:
             keep = pa.array([linked(x, y, percent) for x, y in zip(read("x"), read("y"), strict=True)], pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(keep)
 
-    p = pairs.join(held.select(F.col("rid").alias("a"), F.col("set").alias("x")), "a")
-    p = p.join(held.select(F.col("rid").alias("b"), F.col("set").alias("y")), "b")
-    return p.select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint")
+    side = lambda k, *names: held.select(F.col("rid").alias(k), *(F.col(n).alias(f"{n}_{k}") for n in names))
+    p = pairs.join(side("a", "o3", "o4"), "a").join(side("b", "o3", "o4"), "b")
+    p = cut(p.where(F.arrays_overlap("o3_a", "o3_b") & F.arrays_overlap("o4_a", "o4_b")).select("a", "b"), "narrowed")
+    p = p.join(side("a", "set"), "a").join(side("b", "set"), "b")
+    return p.select("a", "b", F.col("set_a").alias("x"), F.col("set_b").alias("y")).mapInArrow(run, "a bigint, b bigint")
 
 
 def cluster(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataFrame:
@@ -191,8 +211,9 @@ def cluster(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataFrame:
     several = posted.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("token")
     posted = cut(posted.join(several, "token"), "buckets")
     active = posted.select("rid").distinct()
-    to_set = _per_set(["rid"], k, lambda s: (s.tobytes(),), {"set": pa.binary()})
-    held = cut(texts.join(active, "rid").select("rid", "text").mapInArrow(to_set, "rid bigint, set binary"), "active")
+    kinds = {"set": pa.binary(), "o3": pa.list_(pa.int32()), "o4": pa.list_(pa.int32()), "bits": pa.list_(pa.int64())}
+    to_sketch = _per_set(["rid"], k, lambda s: sketch(s, percent), kinds)
+    held = cut(texts.join(active, "rid").select("rid", "text").mapInArrow(to_sketch, "rid bigint, set binary, o3 array<int>, o4 array<int>, bits array<bigint>"), "active")
     links = tested = None
     # rows of one doc_id with different texts share a component
     same = classes.where("rid <> doc_id").select(F.col("rid").alias("b"), F.min("rid").over(_by("doc_id")).alias("a")).where("a <> b").select("a", "b")
@@ -208,9 +229,9 @@ def cluster(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataFrame:
             p = p if tested is None else p.join(tested, (F.least("rid", "to") == tested["a"]) & (F.greatest("rid", "to") == tested["b"]), "left_anti")
             pairs = p.groupBy("rid").agg(F.max_by("to", F.struct("c", -F.col("to"))).alias("to")).select(F.least("rid", "to").alias("a"), F.greatest("rid", "to").alias("b")).distinct()
         else:
-            p = p.join(mixed.select("token"), "token").select("token", "rid", "comp", "n", "rank")
-            q = p.withColumnsRenamed({"rid": "b", "comp": "comp_b", "n": "m", "rank": "rank_m"})
-            p = p.join(q, "token").where(F.expr("rid < b AND comp <> comp_b") & may_link(F.col("n"), F.col("rank"), F.col("m"), F.col("rank_m"), percent))
+            p = p.join(mixed.select("token"), "token").select("token", "rid", "comp", "n", "rank").join(held.select("rid", "bits"), "rid").repartition("token")
+            q = p.withColumnsRenamed({"rid": "b", "comp": "comp_b", "n": "m", "rank": "rank_m", "bits": "bits_b"})
+            p = p.join(q, "token").where(F.expr("rid < b AND comp <> comp_b") & may_link(F.col("n"), F.col("rank"), F.col("m"), F.col("rank_m"), percent) & near(percent))
             pairs = p.select(F.col("rid").alias("a"), "b").distinct().join(tested, ["a", "b"], "left_anti")
         pairs = cut(pairs, "pairs")
         tested = pairs if tested is None else tested.unionByName(pairs)
