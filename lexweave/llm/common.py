@@ -1,8 +1,8 @@
 """Shared pieces: the scratch folder, words and hashes of their sequences, map helpers.
 
 Words are split in UTF-8: every byte of 0x80 and above belongs to a word, so ASCII
-classes hold for whole code points too. Sequences of words are hashed from keyed
-64-bit digests of the words, mixed pairwise; caches compare the bytes themselves.
+classes hold for whole code points too. Words are hashed by mixing eight bytes at a time,
+sequences of words by mixing halves; caches compare the bytes themselves.
 """
 
 from __future__ import annotations
@@ -103,26 +103,8 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-class WordNumbers(dict):
-    """word -> 64 bits of its keyed BLAKE2b digest. A worker keeps those of short words: of the last `most` it met, and of as many before."""
-
-    def __init__(self, key: bytes, most: int = 200_000):
-        super().__init__()
-        self.key, self.most, self.older = key, most, {}
-
-    def __missing__(self, word: bytes) -> int:
-        number = self.older.get(word)
-        if number is None:
-            number = int.from_bytes(hashlib.blake2b(word, digest_size=8, key=self.key).digest(), "little")
-        if len(word) <= 64:
-            if len(self) >= self.most:
-                self.older = dict(self)
-                self.clear()
-            self[word] = number
-        return number
-
-
-NUMBERS, NUMBERS2 = WordNumbers(b"first"), WordNumbers(b"second")
+#: Seeds of two independent hashes of words.
+NUMBERS, NUMBERS2 = 0x5851F42D4C957F2D, 0x14057B7EF767814F
 CHUNK = 4_000_000
 
 
@@ -138,18 +120,56 @@ def chunks(text: bytes, most: int = CHUNK) -> Iterator[bytes]:
 _GAP = re.compile(rb"(?<=[^\x20\x09-\x0d])[\x20\x09-\x0d]")
 
 
-def word_numbers(texts: list[bytes], *numbers: WordNumbers) -> tuple[np.ndarray, list[np.ndarray]]:
-    """The words between ASCII white space of texts: the place of each text's first word (and the end), and their numbers in each of `numbers`."""
-    first, parts = [0], [[] for _ in numbers]
-    for text in texts:
-        n = 0
+#: Bytes of a word that are hashed in lanes of eight; longer words go to BLAKE2b.
+_LANED = 256
+_IN_WORD = np.array([b not in b"\x20\x09\x0a\x0b\x0c\x0d" for b in range(256)])
+_LANES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+
+
+def word_numbers(texts: list[bytes], *seeds: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The words between ASCII white space of texts: the place of each text's first word (and the end), and a hash of each word by each seed."""
+    counts, found = np.zeros(len(texts), np.int64), [[] for _ in seeds]
+    pieces, owners, size = [], [], 0
+
+    def flush() -> None:
+        n, numbers = _numbers(pieces, seeds)
+        np.add.at(counts, owners, n)
+        for part, new in zip(found, numbers, strict=True):
+            part.append(new)
+
+    for i, text in enumerate(texts):
         for piece in chunks(text):
-            words = piece.split()
-            n += len(words)
-            for part, of in zip(parts, numbers, strict=True):
-                part.append(np.fromiter(map(of.__getitem__, words), np.uint64, len(words)))
-        first.append(first[-1] + n)
-    return np.array(first), [np.concatenate(part) if part else np.zeros(0, np.uint64) for part in parts]
+            if pieces and size + len(piece) > CHUNK:
+                flush()
+                pieces, owners, size = [], [], 0
+            pieces.append(piece)
+            owners.append(i)
+            size += len(piece)
+    if pieces:
+        flush()
+    return np.append(0, np.cumsum(counts)), [np.concatenate(part) if part else np.zeros(0, np.uint64) for part in found]
+
+
+def _numbers(pieces: list[bytes], seeds: tuple[int, ...]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The number of words of each piece, and by seed their hashes: eight bytes at a time are mixed into 64 bits."""
+    buf = b" ".join([*pieces, bytes(8)])
+    edges = np.diff(_IN_WORD[np.frombuffer(buf, np.uint8)[:-8]].view(np.int8), prepend=np.int8(0))
+    start, end = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
+    lanes = np.ndarray((len(buf) - 7,), "<u8", buf, strides=(1,))
+    length = end - start
+    out = []
+    for seed in seeds:
+        h = mix((lanes[start] & _LANES[np.minimum(length, 8)]) ^ mix(length.astype(np.uint64) + np.uint64(seed)))
+        at, more = 8, np.flatnonzero(length > 8)
+        while len(more) and at < _LANED:
+            h[more] = mix(h[more] * np.uint64(0x9E3779B97F4A7C15) + (lanes[start[more] + at] & _LANES[np.minimum(length[more] - at, 8)]))
+            at += 8
+            more = more[length[more] > at]
+        for i in more.tolist():
+            h[i] = int.from_bytes(hashlib.blake2b(buf[start[i] : end[i]], digest_size=8, key=seed.to_bytes(8, "little")).digest(), "little")
+        out.append(h)
+    offsets = np.append(0, np.cumsum([len(p) + 1 for p in pieces]))
+    return np.diff(np.searchsorted(start, offsets)), out
 
 
 def windows(values: np.ndarray, size: int) -> np.ndarray:

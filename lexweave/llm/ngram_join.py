@@ -21,7 +21,7 @@ expanded. Each class is first verified with one leader of a bucket; what is link
 as one, and this repeats STARS times. Then all pairs of a bucket between different
 components that pass the filters are verified, so no link between components is lost.
 
-Words are told by 64-bit keyed digests, shingles by 64 bits mixed from these, equal sets by a
+Words are told by 64-bit hashes, shingles by 64 bits mixed from these, equal sets by a
 128-bit digest; a collision of shingles of one pair of sets can shift its overlap by one.
 
 Null texts and texts without words have an empty set and link with nothing. A null
@@ -121,8 +121,9 @@ def buckets(posted: DataFrame, percent: int) -> DataFrame:
     own: how many rid alone posted; rank: the token's place in order 2 among all posted by rid.
     """
     p = posted.repartition("token")
-    many = p.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
-    p = p.join(many.hint("shuffle_hash"), "token")
+    # reads all columns of p, so both uses of p are one shuffle and the texts are read once
+    many = p.groupBy("token").agg(F.count(F.lit(1)).alias("c"), F.min("rid").alias("low"), F.max("rid").alias("high"), F.max("n").alias("most")).where("low < high AND most > 0")
+    p = p.join(many.select("token", "c").hint("shuffle_hash"), "token")
     lists = p.groupBy("rid", "n").agg(F.sort_array(F.collect_list(F.struct("c", "token"))).alias("x"))
     need, more, size = _sizes(percent)
     n = F.col("n")
