@@ -12,6 +12,7 @@ import hashlib
 import re
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -38,9 +39,29 @@ def scratch(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder; what it holds goes when the driver's Python ends."""
     path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
     atexit.register(_remove, spark, path)
+    if _WATCHED:
+        _WATCHED[-1].append(path)
     return path
 
 
+@contextmanager
+def made_here() -> Iterator[list[str]]:
+    """A list that gets the path of every table written within; release_paths() deletes them when nothing reads them any more."""
+    _WATCHED.append([])
+    try:
+        yield _WATCHED[-1]
+    finally:
+        _WATCHED.pop()
+
+
+_WATCHED: list[list[str]] = []
+
+
+def release_paths(spark: SparkSession, paths: list[str]) -> None:
+    for path in paths:
+        _remove(spark, path)
+
+
 def cut(df: DataFrame, name: str = "cut") -> DataFrame:
     """Write a table into the shared folder and read it back: the lineage ends there.
 

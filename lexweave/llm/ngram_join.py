@@ -192,7 +192,7 @@ def verify(pairs: DataFrame, held: DataFrame, percent: int) -> DataFrame:
 
     side = lambda k, *names: held.select(F.col("rid").alias(k), *(F.col(n).alias(f"{n}_{k}") for n in names))
     p = pairs.join(side("a", "o3", "o4"), "a").join(side("b", "o3", "o4"), "b")
-    p = cut(p.where(F.arrays_overlap("o3_a", "o3_b") & F.arrays_overlap("o4_a", "o4_b")).select("a", "b"), "narrowed")
+    p = p.where(F.arrays_overlap("o3_a", "o3_b") & F.arrays_overlap("o4_a", "o4_b")).select("a", "b")
     p = p.join(side("a", "set"), "a").join(side("b", "set"), "b")
     return p.select("a", "b", F.col("set_a").alias("x"), F.col("set_b").alias("y")).mapInArrow(run, "a bigint, b bigint")
 
