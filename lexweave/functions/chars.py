@@ -105,6 +105,10 @@ def misencoded_share(c, script: str = KANNADA) -> Column:
     return F.coalesce(F.try_divide(wrong, count_of(t, script) + wrong), F.lit(0.0))
 
 
+#: fixed value: stands for text that was left out
+OMITTED = chr(0xE000)
+
+
 def clean_cell(c, keep_kannada: bool = False, mark: str = "") -> Column:
     """a table cell; Kannada runs go (or become the mark) unless kept."""
     t = F.regexp_replace(sanitise(c), r"\s+", " ")
@@ -114,8 +118,9 @@ def clean_cell(c, keep_kannada: bool = False, mark: str = "") -> Column:
 
 
 def clean(c) -> Column:
-    """one spelling of quotes, hyphens and blanks; no blank lines."""
-    t = F.regexp_replace(sanitise(c), r"[\x{2010}\x{2011}]", "-")
+    """one mark between single blanks for marks in a row; one spelling of quotes, hyphens and blanks; no blank lines."""
+    t = F.regexp_replace(sanitise(c), f"(?:[ \\t]*{OMITTED}[ \\t]*)+", f" {OMITTED} ")
+    t = F.regexp_replace(t, r"[\x{2010}\x{2011}]", "-")
     t = F.regexp_replace(F.regexp_replace(t, r"[\x{2018}\x{2019}]", "'"), r"[\x{201C}\x{201D}]", '"')
     t = F.regexp_replace(F.regexp_replace(t, r"[\x{00A0}\x{2007}\x{202F}]", " "), r"[ \t]+", " ")
     return F.regexp_replace(t, r"\n{2,}", "\n")

@@ -1,6 +1,9 @@
 """Operators on small inline inputs."""
 
+from types import SimpleNamespace
+
 import duckdb
+import pytest
 from pyspark.sql import functions as F
 
 from lexweave.functions import chars
@@ -147,3 +150,53 @@ def test_collisions_at_every_level(spark):
     con.execute(f"CREATE VIEW lineitem AS SELECT * FROM '{sf}/lineitem.parquet'")
     assert got == sorted(con.execute(queries.ORACLES["i05_collisions"]).fetchall())
     assert {e.count("__") for _, e, _ in got} == {0, 1, 2}
+
+
+def test_outline_labels(spark):
+    rows = [("1", "Short title", "section", "", None, "sec_1"), ("1", "", "subsection", "", None, "sec_1__subsec_1"), ("IV", "Of fees", "chapter", "", None, "chp_4"), ("V", "", "part", "", None, "part_5"), ("", "", "proviso", "", None, "sec_1__proviso_1"), ("", "THE SCHEDULE", "hcontainer", "schedule", 2, "att_2"), ("", "Loose", "crossHeading", "", None, "x")]
+    d = spark.createDataFrame([("d", *r) for r in rows], "doc_id string, num string, heading string, kind string, name string, schedule_no int, eid string")
+    got = {r["eid"]: (r["tag"], r["label"]) for r in views.outline(d).collect()}
+    assert got == {
+        "sec_1": ("section", "1. Short title"), "sec_1__subsec_1": ("subsection", "(1)"), "chp_4": ("chapter", "Chapter IV: Of fees"),
+        "part_5": ("part", "Part V"), "sec_1__proviso_1": ("proviso", "proviso"), "att_2": ("attachment", "Schedule 2"),
+    }
+
+
+def test_marks_in_a_row_are_one(spark):
+    m = chars.OMITTED
+    d = spark.createDataFrame([(f"a{m} {m}\t{m}b",), (f"{m}",), ("a  b\n\n\nc",)], "t string")
+    assert [r[0] for r in d.select(chars.clean("t")).collect()] == [f"a {m} b", f" {m} ", "a b\nc"]
+
+
+def test_citation_after_much_white_space():
+    text = "under the Karnataka Societies Act, 1960" + " " * 3000 + ", in section 5"
+    assert [x["external"] for x in citations.find(text)] == [True]
+
+
+def _placed(*tokens):
+    """path, kind of each node: tokens are (kind, num)."""
+    placer, path, out = Placer(), {0: ""}, []
+    placer.state = "body"
+    for kind, num in tokens:
+        placer.feed(SimpleNamespace(kind=kind, num=num, text="", heading="", raw="", inline="", rows=None))
+    for r in placer.finish():
+        if r["record"] == "node":
+            path[r["node_id"]] = f"{path[r['parent_id']]}/{r['num'] or r['kind']}"
+            out.append((path[r["node_id"]], r["kind"]))
+    return out
+
+
+@pytest.mark.parametrize("tokens, want", [
+    # roman below alpha, then alpha goes on
+    ([("section", "1"), ("alpha", "a"), ("roman", "i"), ("roman", "ii"), ("alpha", "b")], ["/1", "/1/a", "/1/a/i", "/1/a/ii", "/1/b"]),
+    # a list goes on after a proviso, whose own list is its own
+    ([("section", "1"), ("alpha", "a"), ("proviso", ""), ("alpha", "a"), ("alpha", "b"), ("subsection", "2"), ("alpha", "a")], ["/1", "/1/a", "/1/proviso", "/1/proviso/a", "/1/proviso/b", "/1/2", "/1/2/a"]),
+    # a restarted list nests
+    ([("section", "1"), ("alpha", "a"), ("alpha", "a"), ("alpha", "b")], ["/1", "/1/a", "/1/a/a", "/1/a/b"]),
+    # an item that follows none joins the deepest list of its type
+    ([("section", "1"), ("alpha", "a"), ("alpha", "f")], ["/1", "/1/a", "/1/f"]),
+    # a chapter closes all
+    ([("section", "1"), ("subsection", "1"), ("chapter", "II"), ("section", "2"), ("explanation", "")], ["/1", "/1/1", "/II", "/II/2", "/II/2/hcontainer"]),
+])
+def test_placing(tokens, want):
+    assert [p for p, _ in _placed(*tokens)] == want
