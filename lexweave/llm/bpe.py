@@ -70,7 +70,7 @@ class WordBpe:
         np.minimum.at(first, a, np.arange(len(a)))
         np.minimum.at(first, b, np.arange(len(b)))
         self.alone = (first[self.made] <= np.arange(len(self.made))) | (a == b)
-        self.cache = PieceCache()
+        self.cache = PieceCache(240_000_000)
 
     def merge(self, words: list[bytes]) -> tuple[list[int], list[int]]:
         """Ids of the words (none is empty) and where each word's begin."""

@@ -89,7 +89,7 @@ class PieceEncoder:
         self.special = re.compile("|".join(re.escape(t["content"]) for t in spec["added_tokens"]).encode())
         self.dtype = np.dtype("<u2" if self.lib.get_vocab_size() <= 65536 else "<u4")
         self.line_feed = self.lib.encode("\n").ids[0]
-        self.cache = PieceCache(160_000_000)
+        self.cache = PieceCache(240_000_000)
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, self.dtype) for e in self.lib.encode_batch_fast(texts, add_special_tokens=False)]
