@@ -16,6 +16,7 @@ import hashlib
 import json
 import re
 import unicodedata
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -158,7 +159,7 @@ class WordBpe:
     def _in_turn(self, texts: list[bytes]):
         """Of each text the records of its stretches between white space; words of all short texts are learned at once."""
         short = [t.split() if len(t) <= CHUNKED else None for t in texts]
-        self.cache.fill(set().union(*filter(None, short)), self.learn)
+        self.cache.fill(chain.from_iterable(filter(None, short)), self.learn)
         for text, words in zip(texts, short, strict=True):
             if words is not None:
                 yield list(map(self.cache.__getitem__, words))
@@ -167,10 +168,10 @@ class WordBpe:
             for piece in chunks(text):
                 words = piece.split()
                 self.cache.trim()
-                self.cache.fill({*words}, self.learn)
+                self.cache.fill(words, self.learn)
                 found.append(b"".join(map(self.cache.__getitem__, words)))
             yield found
-            self.cache.fill(set().union(*filter(None, short)), self.learn)
+            self.cache.fill(chain.from_iterable(filter(None, short)), self.learn)
 
     def with_special(self, text: str) -> tuple[int, bytes]:
         n, found = 0, []

@@ -11,8 +11,9 @@ import atexit
 import hashlib
 import re
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
+from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -260,16 +261,15 @@ class PieceCache(dict):
         super().__init__()
         self.most, self.held, self.older = most, 0, {}
 
-    def fill(self, pieces: set[bytes], learn: Callable[[list[bytes]], list[bytes]]) -> None:
+    def fill(self, pieces: Iterable[bytes], learn: Callable[[list[bytes]], list[bytes]]) -> None:
         """Records of the pieces that are missing."""
         new = []
-        for p in pieces:
-            if p not in self:
-                if (known := self.older.get(p)) is None:
-                    new.append(p)
-                else:
-                    self[p] = known
-                    self.held += self.ENTRY + len(p) + len(known)
+        for p in set(filterfalse(self.__contains__, pieces)):
+            if (known := self.older.get(p)) is None:
+                new.append(p)
+            else:
+                self[p] = known
+                self.held += self.ENTRY + len(p) + len(known)
         for i in range(0, len(new), 50_000):
             part = new[i : i + 50_000]
             got = learn(part)

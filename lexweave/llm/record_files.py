@@ -24,6 +24,7 @@ import re
 import struct
 import uuid
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -113,7 +114,7 @@ class PieceEncoder:
         odd = [i for i, t in enumerate(texts) if UNUSUAL.search(t) or (b"<|" in t and self.special.search(t))]
         whole = dict(zip(odd, self.ids([texts[i].decode() for i in odd]), strict=True)) if odd else {}
         plain = [None if i in whole else PIECE.findall(t) if len(t) <= CHUNKED else t for i, t in enumerate(texts)]
-        self.cache.fill(set().union(*(p for p in plain if isinstance(p, list))), self.learn)
+        self.cache.fill(chain.from_iterable(p for p in plain if isinstance(p, list)), self.learn)
         read = self.cache.__getitem__
         out = [b"".join(map(read, p)) if isinstance(p, list) else p for p in plain]
         for i, p in enumerate(out):
@@ -128,7 +129,7 @@ class PieceEncoder:
         """Ids of a stretch of a long text that ends where a word ends."""
         found = PIECE.findall(text)
         self.cache.trim()
-        self.cache.fill({*found}, self.learn)
+        self.cache.fill(found, self.learn)
         return b"".join(map(self.cache.__getitem__, found))
 
 
