@@ -260,16 +260,40 @@ class PieceCache(dict):
     def __init__(self, most: int = 80_000_000):
         super().__init__()
         self.most, self.held, self.older = most, 0, {}
+        self.wanted, self.missed = set(), 0
+
+    def __missing__(self, piece: bytes) -> bytes | None:
+        """The record in the older generation, which becomes a younger one; else None, and the piece is wanted."""
+        known = self.older.get(piece)
+        if known is None:
+            self.wanted.add(piece)
+            self.missed += 1
+        else:
+            self[piece] = known
+            self.held += self.ENTRY + len(piece) + len(known)
+        return known
 
     def fill(self, pieces: Iterable[bytes], learn: Callable[[list[bytes]], list[bytes]]) -> None:
         """Records of the pieces that are missing."""
-        new = []
         for p in set(filterfalse(self.__contains__, pieces)):
-            if (known := self.older.get(p)) is None:
-                new.append(p)
-            else:
-                self[p] = known
-                self.held += self.ENTRY + len(p) + len(known)
+            self[p]
+        self._learn_wanted(learn)
+
+    def records(self, lists: list[list[bytes]], learn: Callable[[list[bytes]], list[bytes]]) -> list[list[bytes]]:
+        """The records of lists of pieces. Each piece is looked up once; only missing ones a second time, when they are learned."""
+        found, gaps, seen = [], [], self.missed
+        for i, pieces in enumerate(lists):
+            found.append(list(map(self.__getitem__, pieces)))
+            if self.missed > seen:
+                gaps.append(i)
+                seen = self.missed
+        self._learn_wanted(learn)
+        for i in gaps:
+            found[i] = [self[p] if r is None else r for p, r in zip(lists[i], found[i], strict=True)]
+        return found
+
+    def _learn_wanted(self, learn: Callable[[list[bytes]], list[bytes]]) -> None:
+        new, self.wanted = list(self.wanted), set()
         for i in range(0, len(new), 50_000):
             part = new[i : i + 50_000]
             got = learn(part)

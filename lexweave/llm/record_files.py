@@ -24,7 +24,6 @@ import re
 import struct
 import uuid
 import zlib
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -39,8 +38,8 @@ MASK = 0xA282EAD8
 NULL_ID = -(2**63)
 #: White space beyond ASCII: texts that hold some go to the library whole.
 UNUSUAL = re.compile(rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
-#: A word of ASCII letters that white space or a mark ends; any other word; white space but the last before a word; white space.
-PIECE = re.compile(rb" ?[A-Za-z]++(?=[\t-\r .,;:!?])| ?[^\t-\r ]++|[\t-\r ]+(?=[\t-\r ][^\t-\r ])|[\t-\r ]+")
+#: A word of letters (the first of ASCII, others of ASCII or U+00C0 to U+017F but two signs) that white space or a mark ends; any other word; white space but the last before a word; white space.
+PIECE = re.compile(rb" ?[A-Za-z]++(?:(?!\xc3[\x97\xb7])[\xc3-\xc5][\x80-\xbf][A-Za-z]*+)*+(?=[\t-\r .,;:!?])| ?[^\t-\r ]++|[\t-\r ]+(?=[\t-\r ][^\t-\r ])|[\t-\r ]+")
 
 
 def masked_crc(data: bytes) -> int:
@@ -66,6 +65,8 @@ def unframe(data: bytes) -> bytes:
 
 #: Texts of more bytes are taken in stretches.
 CHUNKED = 4_000_000
+#: New words that go to the library as one text; its time a word grows with the length of a text.
+TOGETHER = 250
 
 
 class PieceEncoder:
@@ -73,7 +74,7 @@ class PieceEncoder:
 
     The library's pattern never joins a word to what follows it, and takes from the
     white space before a word only one blank. So a text falls into words with the
-    blank before them, and what other white space there is. New words go to the library in one text,
+    blank before them, and what other white space there is. New words go to the library many to a text,
     a line feed between each two, at whose id the result parts. A text with white space beyond
     ASCII or with a special token's string goes to it whole.
     """
@@ -96,27 +97,25 @@ class PieceEncoder:
         return [np.array(e.ids, self.dtype) for e in self.lib.encode_batch_fast(texts, add_special_tokens=False)]
 
     def learn(self, pieces: list[bytes]) -> list[bytes]:
-        words = [i for i, p in enumerate(pieces) if p.strip()]
+        words = [i for i, p in enumerate(pieces) if not p.isspace()]
         out = [b""] * len(pieces)
-        for k in range(0, len(words), 20_000):
-            part = words[k : k + 20_000]
-            flat = self.ids([b"\n".join([pieces[i] for i in part]).decode()])[0]
-            ends = [*np.flatnonzero(flat == self.line_feed).tolist(), len(flat)]
-            data, size, a = flat.tobytes(), self.dtype.itemsize, 0
-            for i, b in zip(part, ends, strict=True):
-                out[i], a = data[a * size : b * size], b + 1
-        space = [i for i, p in enumerate(pieces) if not p.strip()]
+        size = self.dtype.itemsize
+        parts = [words[k : k + TOGETHER] for k in range(0, len(words), TOGETHER)]
+        for part, flat in zip(parts, self.ids([b"\n".join([pieces[i] for i in part]).decode() for part in parts]), strict=True):
+            data, a = flat.tobytes(), 0
+            for i, b in zip(part, [*(np.flatnonzero(flat == self.line_feed) * size).tolist(), len(data)], strict=True):
+                out[i], a = data[a:b], b + size
+        space = [i for i, p in enumerate(pieces) if p.isspace()]
         for i, x in zip(space, self.ids([pieces[i].decode() for i in space]), strict=True):
             out[i] = x.tobytes()
         return out
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        odd = [i for i, t in enumerate(texts) if UNUSUAL.search(t) or (b"<|" in t and self.special.search(t))]
+        odd = [i for i, t in enumerate(texts) if (not t.isascii() and UNUSUAL.search(t)) or (b"<|" in t and self.special.search(t))]
         whole = dict(zip(odd, self.ids([texts[i].decode() for i in odd]), strict=True)) if odd else {}
         plain = [None if i in whole else PIECE.findall(t) if len(t) <= CHUNKED else t for i, t in enumerate(texts)]
-        self.cache.fill(chain.from_iterable(p for p in plain if isinstance(p, list)), self.learn)
-        read = self.cache.__getitem__
-        out = [b"".join(map(read, p)) if isinstance(p, list) else p for p in plain]
+        known = iter(self.cache.records([p for p in plain if isinstance(p, list)], self.learn))
+        out = [b"".join(next(known)) if isinstance(p, list) else p for p in plain]
         for i, p in enumerate(out):
             if i in whole:
                 out[i] = whole[i].tobytes()
@@ -129,8 +128,7 @@ class PieceEncoder:
         """Ids of a stretch of a long text that ends where a word ends."""
         found = PIECE.findall(text)
         self.cache.trim()
-        self.cache.fill(found, self.learn)
-        return b"".join(map(self.cache.__getitem__, found))
+        return b"".join(self.cache.records([found], self.learn)[0])
 
 
 def shared(path: str) -> PieceEncoder:
