@@ -14,6 +14,7 @@ import uuid
 from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 from itertools import filterfalse
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -283,7 +284,7 @@ class PieceCache(dict):
         """The records of lists of pieces. Each piece is looked up once; only missing ones a second time, when they are learned."""
         found, gaps, seen = [], [], self.missed
         for i, pieces in enumerate(lists):
-            found.append(list(map(self.__getitem__, pieces)))
+            found.append(itemgetter(*pieces)(self) if len(pieces) > 1 else [self[p] for p in pieces])
             if self.missed > seen:
                 gaps.append(i)
                 seen = self.missed

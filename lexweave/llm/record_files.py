@@ -38,8 +38,8 @@ MASK = 0xA282EAD8
 NULL_ID = -(2**63)
 #: White space beyond ASCII: texts that hold some go to the library whole.
 UNUSUAL = re.compile(rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
-#: A word of letters (the first of ASCII, others of ASCII or U+00C0 to U+017F but two signs) that white space or a mark ends; any other word; white space but the last before a word; white space.
-PIECE = re.compile(rb" ?[A-Za-z]++(?:(?!\xc3[\x97\xb7])[\xc3-\xc5][\x80-\xbf][A-Za-z]*+)*+(?=[\t-\r .,;:!?])| ?[^\t-\r ]++|[\t-\r ]+(?=[\t-\r ][^\t-\r ])|[\t-\r ]+")
+#: A word of letters (the first of ASCII, others of ASCII or U+00C0 to U+017F but two signs) that another character of ASCII ends; any other word; white space but the last before a word; white space.
+PIECE = re.compile(rb" ?[A-Za-z]++(?:(?!\xc3[\x97\xb7])[\xc3-\xc5][\x80-\xbf][A-Za-z]*+)*+(?=[\x00-@\[-`{-\x7f])| ?[^\t-\r ]++|[\t-\r ]+(?=[\t-\r ][^\t-\r ])|[\t-\r ]+")
 
 
 def masked_crc(data: bytes) -> int:
@@ -91,7 +91,7 @@ class PieceEncoder:
         self.special = re.compile("|".join(re.escape(t["content"]) for t in spec["added_tokens"]).encode())
         self.dtype = np.dtype("<u2" if self.lib.get_vocab_size() <= 65536 else "<u4")
         self.line_feed = self.lib.encode("\n").ids[0]
-        self.cache = PieceCache(240_000_000)
+        self.cache = PieceCache(300_000_000)
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, self.dtype) for e in self.lib.encode_batch_fast(texts, add_special_tokens=False)]

@@ -151,3 +151,21 @@ def test_bpe_decodes_ids(spark):
     assert got == want == {r["doc_id"]: r["decoded"] for r in enc.collect()}
     with pytest.raises(ValueError, match="99999999"):
         bpe.shared(path).decode_ids(b"1 99999999")
+
+
+def test_pieces_of_record_encoder_meet_the_library_at_every_boundary():
+    import random
+
+    import numpy as np
+    import public_tokenizers
+
+    from lexweave.llm.record_files import NAME, PieceEncoder
+
+    enc, rnd = PieceEncoder(public_tokenizers.path(NAME)), random.Random(5)
+    letters = ["a", "t", "s", "é", "×", "÷", "ŕ", "ÿ", "À", "Ж", "中", "́", " ", "  ", "\n", "\t", " ", "'s", "'", ".", ",", "!", "#", "1", "-", "_", "<|", "%"]
+    texts = ["".join(rnd.choices(letters, k=rnd.randint(0, 30))) for _ in range(20_000)]
+    enc.cache.most = 200_000  # so that generations go
+    for i in range(0, len(texts), 1000):
+        got = enc.encode([t.encode() for t in texts[i : i + 1000]])
+        expected = enc.lib.encode_batch_fast(texts[i : i + 1000], add_special_tokens=False)
+        assert [np.frombuffer(x, enc.dtype).tolist() for x in got] == [e.ids for e in expected]
