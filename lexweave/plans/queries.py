@@ -50,6 +50,37 @@ def f14_numbers(spark, d):
     return p.select("p_partkey", chars.normal_num(F.concat(F.lit("Section "), "p_name", F.lit(" ("), F.col("p_size").cast("string"), F.lit(").bis."))).alias("num"))
 
 
+def f17_words(spark, d):
+    key = F.col("p_partkey")
+    p = _t(spark, d, "part").withColumn("size", F.col("p_size").cast("string"))
+    word = F.concat("p_name", F.element_at(F.array(*map(F.lit, (" categories", "Sub-sections", " class", ""))), (key % 4 + 1).cast("int")))
+    kind = F.element_at(F.array(*map(F.lit, ("section", "chapter", "clause", "rule", "subsection"))), (key % 5 + 1).cast("int"))
+    tag = F.element_at(F.array(*map(F.lit, ("kn-Latn-x-nudi", "kn", "kn-x-Misencoded"))), (key % 3 + 1).cast("int"))
+    return p.select(
+        "p_partkey", chars.keyword(word).alias("keyword"), chars.num_key(F.concat(F.lit(" (IV-"), "size", F.lit(")\t"))).alias("num"), chars.display_num(kind, F.col("size")).alias("shown"),
+        chars.href(F.concat(F.lit("#sec_"), "size"), F.lit("/akn/in-ka/act/2020/1/eng@"), key % 2 == 0).alias("href"), chars.is_legacy_tag(tag).alias("legacy"),
+        chars.escape_xml(F.concat("p_name", F.lit(' <a href="x">&amp;'))).alias("escaped"), chars.local_name(F.concat(F.lit("{urn:x}"), "p_name")).alias("name"),
+    )
+
+
+def f19_units(spark, d):
+    li, key = _t(spark, d, "lineitem"), F.col("l_orderkey")
+    sec, chp = F.concat(F.lit("sec_"), F.col("l_linenumber").cast("string")), F.concat(F.lit("chp_"), (key % 9 + 1).cast("string"))
+    eid = F.when(key % 4 == 0, F.concat_ws("__", chp, sec, F.lit("subsec_2"))).when(key % 4 == 1, F.concat_ws("__", F.lit("part_I"), chp, sec)).when(key % 4 == 2, F.concat_ws("__", sec, F.lit("cl_a")))
+    e = li.select("l_orderkey", "l_linenumber", F.coalesce(eid, F.concat_ws("__", F.lit("part_I"), chp)).alias("eid"))
+    odd = F.when(key % 5 == 0, F.concat("eid", F.lit(" x"))).otherwise(F.col("eid"))
+    return e.select("l_orderkey", "l_linenumber", "eid", chars.enclosing_unit("eid").alias("unit"), F.array_join(chars.ancestors("eid"), "|").alias("ancestors"), chars.is_conformant(odd).alias("conformant"))
+
+
+def f30_order(spark, d):
+    at = (F.col("o_orderkey") % 20).cast("int")
+    letter, roman = (F.get(F.array(*map(F.lit, x)), at) for x in (chars.LETTERS, chars.ROMANS))
+    alpha = F.col("o_orderkey") % 2 == 0
+    num = F.when(alpha, letter).otherwise(roman)
+    after = F.when(alpha, chars.successor("alpha", letter)).otherwise(chars.successor("roman", roman))
+    return _t(spark, d, "orders").select("o_orderkey", num.alias("num"), chars.predecessor(F.when(alpha, "alpha").otherwise("roman"), num).alias("before"), after.alias("after"))
+
+
 def f22_slug(spark, d):
     return _t(spark, d, "part").select("p_partkey", chars.slug("p_name").alias("slug"), chars.short_name("p_name").alias("short"))
 
@@ -153,7 +184,7 @@ def w01_outline(spark, d):
 
 
 QUERIES = {f.__name__: f for f in (
-    f01_sanitise, f02_letter_counts, f03_span_class, f08_misencoded, f14_numbers, f22_slug, f25_uris, p01_pages, p02_readmit, p05_furniture, l02_runs, l06_orphans, l07_reflow, k04_ranges,
+    f01_sanitise, f02_letter_counts, f03_span_class, f08_misencoded, f14_numbers, f17_words, f19_units, f22_slug, f25_uris, f30_order, p01_pages, p02_readmit, p05_furniture, l02_runs, l06_orphans, l07_reflow, k04_ranges,
     w01_outline, w02_attrs, t03_markers, t04_headings, i02_eids, i05_duplicates, i05_collisions, c05_external, m01_meta, v04_dangling, v05_residue,
 )}
 
@@ -186,6 +217,19 @@ SELECT doc_id, CASE x WHEN 'kanl' THEN 'kan' ELSE x END AS lang, CASE x WHEN 'ka
 WITH d AS (SELECT doc_id, {_N("coalesce(text, '')", chars.SYMBOLS)} - {_N("coalesce(text, '')", chars.GOOD_SYMBOLS)} AS w, {_N("coalesce(text, '')", 'A-Za-z')} AS l FROM documents)
 SELECT doc_id, round(CASE WHEN w + l = 0 THEN 0.0 ELSE w / (w + l) END, 9) AS share FROM d""",
     "f14_numbers": "SELECT p_partkey, array_to_string(list_filter(string_split_regex(replace(p_name, ' ', '') || '(' || p_size || ').bis', '[^A-Za-z0-9]+'), lambda x: x <> ''), '-') AS num FROM part",
+    "f17_words": r"""
+WITH w AS (SELECT *, regexp_replace(lower(p_name || [' categories', 'Sub-sections', ' class', ''][p_partkey % 4 + 1]), '[-\s]', '', 'g') AS w FROM part)
+SELECT p_partkey, CASE WHEN ends_with(w, 'ies') THEN left(w, -3) || 'y' WHEN ends_with(w, 's') AND NOT ends_with(w, 'ss') THEN left(w, -1) ELSE w END AS keyword, 'iv-' || p_size AS num,
+  [p_size || '.', p_size::VARCHAR, '(' || p_size || ')', p_size || '.', '(' || p_size || ')'][p_partkey % 5 + 1] AS shown,
+  CASE WHEN p_partkey % 2 = 0 THEN '/akn/in-ka/act/2020/1/eng@/!main' ELSE '' END || '#sec_' || p_size AS href, p_partkey % 3 <> 1 AS legacy, p_name || ' &lt;a href=&quot;x&quot;&gt;&amp;amp;' AS escaped, p_name AS name FROM w""",
+    "f19_units": """
+WITH e AS (SELECT l_orderkey, l_linenumber, 'sec_' || l_linenumber AS s, 'chp_' || (l_orderkey % 9 + 1) AS c FROM lineitem),
+p AS (SELECT *, CASE l_orderkey % 4 WHEN 0 THEN [c, s, 'subsec_2'] WHEN 1 THEN ['part_I', c, s] WHEN 2 THEN [s, 'cl_a'] ELSE ['part_I', c] END AS p FROM e)
+SELECT l_orderkey, l_linenumber, array_to_string(p, '__') AS eid, CASE l_orderkey % 4 WHEN 0 THEN c || '__' || s WHEN 1 THEN 'part_I__' || c || '__' || s WHEN 2 THEN s ELSE '' END AS unit,
+  array_to_string(list_transform(range(len(p), -1, -1), lambda n: array_to_string(p[1:n], '__')), '|') AS ancestors, l_orderkey % 5 <> 0 AS conformant FROM p""",
+    "f30_order": f"""
+WITH o AS (SELECT o_orderkey, o_orderkey % 20 + 1 AS i, CASE WHEN o_orderkey % 2 = 0 THEN {chars.LETTERS!r} ELSE {chars.ROMANS!r} END AS l FROM orders)
+SELECT o_orderkey, l[i] AS num, CASE WHEN i > 1 THEN l[i - 1] END AS before, l[i + 1] AS after FROM o""",
     "f22_slug": """
 SELECT p_partkey, CASE WHEN len(w) = 0 THEN 'term' ELSE lower(w[1]) || array_to_string(list_transform(w[2:], lambda x: upper(x[1]) || lower(x[2:])), '') END AS slug,
   CASE WHEN len(r) = 0 THEN 'Act' ELSE array_to_string(list_transform(r, lambda x: upper(x[1]) || lower(x[2:])), '') END AS short
