@@ -200,3 +200,15 @@ def _placed(*tokens):
 ])
 def test_placing(tokens, want):
     assert [p for p, _ in _placed(*tokens)] == want
+
+
+@pytest.mark.parametrize("name", ["f17_words", "f19_units", "f30_order"])
+def test_scalar_queries_equal_their_sql(spark, name):
+    sf = "/root/testdata/sf0.001"
+    con = duckdb.connect()
+    for t in ("part", "orders", "lineitem"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
+    want = con.execute(queries.ORACLES[name])
+    columns = [c[0] for c in want.description]
+    got = queries.QUERIES[name](spark, sf).select(*columns).collect()
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want.fetchall()))
