@@ -133,14 +133,14 @@ def test_document_has_meta_definitions_and_tagged_runs(spark):
     assert (m["number"], m["jurisdiction"], m["language"], m["notification"], m["generation_date"]) == ("4", "in-ka", "eng", "DPAL 12 SHASANA 2020", "2024-01-01")
     for part in (
         '<FRBRauthor href="#karnatakaLegislature"/>', '<FRBRthis value="/akn/in-ka/act/2020/4/eng@2020/!main.xml"/>', '<FRBRformat value="xml"/>', '<eventRef eId="eref_1" date="2020" type="generation" source="#karnatakaLegislature"/>',
-        '<TLCRole eId="nyayabandhu" href="/akn/ontology/role/editor" showAs="NyayaBandhu automated parser"/><TLCTerm eId="fairRent" href="/akn/ontology/term/fairRent" showAs="fair rent"/></references>',
+        '<TLCRole eId="lexweave" href="/akn/ontology/role/editor" showAs="lexweave automated parser"/><TLCTerm eId="fairRent" href="/akn/ontology/term/fairRent" showAs="fair rent"/></references>',
         '__p_1__def_1" refersTo="#fairRent">&quot;fair rent&quot;</def> means rent under <ref eId="', '__p_1__ref_2" href="#sec_2">section 2</ref>', '__span_1" xml:lang="kn-Latn-x-nudi">PÀ ಕ</span> holds',
     ):
         assert part in xml or part.replace("&quot;", '"') in xml, (part, xml)
     assert "\ue002" not in xml
     given = spark.createDataFrame([("a", {"keywords": '["Rent Law"]'})], "key string, values map<string,string>")
     k = render.meta_xml(meta.apply_overrides(c.meta, spark.createDataFrame([("d", "/x/a.pdf")], "doc_id string, path string"), given)).first()["meta_xml"]
-    assert '<classification source="#nyayabandhu"><keyword eId="rentLaw" value="rent law" showAs="Rent Law" dictionary="#nyayabandhuSubjects"/></classification>' in k
+    assert '<classification source="#lexweave"><keyword eId="rentLaw" value="rent law" showAs="Rent Law" dictionary="#lexweaveSubjects"/></classification>' in k
 
 
 def test_collisions_at_every_level(spark):
