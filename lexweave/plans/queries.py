@@ -107,9 +107,7 @@ def p02_readmit(spark, d):
 
 
 def p05_furniture(spark, d):
-    x = _doc_lines(spark, d).groupBy("doc_id").agg(F.count(F.lit(1)).alias("lines"))
-    y = lines.drop_furniture(_doc_lines(spark, d)).groupBy("doc_id").agg(F.count(F.lit(1)).alias("kept"))
-    return x.join(y, "doc_id", "left").select("doc_id", "lines", F.coalesce("kept", F.lit(0)).cast("long").alias("kept"))
+    return _doc_lines(spark, d).groupBy("doc_id").agg(F.count(F.lit(1)).alias("lines"), F.count_if(lines.is_content()).alias("kept"))
 
 
 def l06_orphans(spark, d):

@@ -25,3 +25,7 @@ def test_span_class_is_dealt_out(spark):
 def test_letters_of_two_code_units_join(spark):
     d = spark.createDataFrame([("a-\nb \U0001d400-\nc --\nd _-\ne-\nF",)], "t string")
     assert d.select(chars.dehyphenate("t")).first()[0] == "ab \U0001d400c --\nd _e-\nF"
+
+
+def test_furniture_reads_documents_once(spark):
+    assert_dealt_out(spark, "p05_furniture")
