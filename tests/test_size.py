@@ -29,3 +29,7 @@ def test_letters_of_two_code_units_join(spark):
 
 def test_furniture_reads_documents_once(spark):
     assert_dealt_out(spark, "p05_furniture")
+
+
+def test_misencoded_is_dealt_out(spark):
+    assert_dealt_out(spark, "f08_misencoded")
