@@ -37,7 +37,7 @@ def test_misencoded_is_dealt_out(spark):
     assert_dealt_out(spark, "f08_misencoded")
 
 
-@pytest.mark.parametrize("name, groups", [("i02_eids", 0), ("c05_external", 1), ("m01_meta", 0)])
+@pytest.mark.parametrize("name, groups", [("i02_eids", 0), ("m01_meta", 0), ("w01_outline", 0), ("c05_external", 1)])
 def test_a_tree_is_not_brought_together_again(spark, name, groups):
     """What a document's tree alone says is in its rows: no join, window or group over them; only c05 groups what it counts."""
     df = queries.QUERIES[name](spark, SF)
