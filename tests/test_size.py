@@ -65,3 +65,7 @@ def test_only_repeated_eids_are_counted(spark):
     text = plan(spark, "i05_collisions")
     assert text.count("MapInArrow") == 1 and "InMemoryRelation" not in text and "Union" not in text
     assert "(copies#" in text and "repeated#" in text
+
+
+def test_reflow_is_dealt_out(spark):
+    assert_dealt_out(spark, "l07_reflow")
